@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, sharding, urlrules
+from tidemark.llm import mixing, neardup, sharding, urlrules
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op4_url_filters": urlrules.op4_url_filters,
     "op7_sharding": sharding.op7_sharding,
+    "op8_near_dedup": neardup.op8_near_dedup,
 }
 
 ORACLE_SQL = {"op1_mixing": mixing.oracle()}

@@ -35,16 +35,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A random 64-bit value for every byte, and powers of an odd multiplier, for the polynomial word hash.
 _BYTE = mix(np.arange(1, 257, dtype=U64) * _MULTIPLIER)
-_POWER = np.ones(64, U64)
-for _i in range(1, 64):
-    _POWER[_i] = _POWER[_i - 1] * U64(0xD6E8FEB86659FD93)
+_POWER = np.ones(1, U64)
 
 
 def powers(n: int) -> np.ndarray:
     """The first n powers of the word hash's multiplier."""
     global _POWER
     while len(_POWER) < n:
-        step = _POWER[-1] * U64(0xD6E8FEB86659FD93)
+        step = _POWER[-1:] * U64(0xD6E8FEB86659FD93)
         _POWER = np.concatenate([_POWER, _POWER * step])
     return _POWER[:n]
 
