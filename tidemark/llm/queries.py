@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, sharding, urlrules
+from tidemark.llm import mixing, neardup, sharding, substring, urlrules
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op4_url_filters": urlrules.op4_url_filters,
     "op7_sharding": sharding.op7_sharding,
     "op8_near_dedup": neardup.op8_near_dedup,

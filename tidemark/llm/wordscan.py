@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _SEPARATOR = np.zeros(256, bool)
@@ -139,7 +140,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 8 << 20) ->
     """Cut a batch so that each part holds about ``most`` bytes of text; a longer single row stays whole."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     total = np.cumsum(sizes)
     a = 0
     while a < batch.num_rows:
