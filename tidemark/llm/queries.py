@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, sharding, substring, urlrules
+from tidemark.llm import mixing, neardup, sharding, substring, urlrules, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_substring_dedup": substring.op2_substring_dedup,
+    "op3_warc": warc.op3_warc,
     "op4_url_filters": urlrules.op4_url_filters,
     "op7_sharding": sharding.op7_sharding,
     "op8_near_dedup": neardup.op8_near_dedup,
 }
 
-ORACLE_SQL = {"op1_mixing": mixing.oracle()}
+ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op3_warc": warc.ORACLE}
