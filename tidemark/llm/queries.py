@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, sharding, substring, urlrules, warc
+from tidemark.llm import mixing, neardup, quality_rules, sharding, substring, urlrules, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_url_filters": urlrules.op4_url_filters,
     "op7_sharding": sharding.op7_sharding,
     "op8_near_dedup": neardup.op8_near_dedup,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 
-ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op3_warc": warc.ORACLE}
+ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op3_warc": warc.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
