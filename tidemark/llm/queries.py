@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, quality_rules, sharding, substring, urlrules, warc
+from tidemark.llm import mixing, neardup, quality_rules, sharding, substring, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_warc": warc.op3_warc,
     "op4_url_filters": urlrules.op4_url_filters,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op7_sharding": sharding.op7_sharding,
     "op8_near_dedup": neardup.op8_near_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
