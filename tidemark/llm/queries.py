@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, quality_rules, sharding, substring, toxicity, urlrules, warc
+from tidemark.llm import bytecnn, mixing, neardup, quality_rules, sharding, substring, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_sharding": sharding.op7_sharding,
     "op8_near_dedup": neardup.op8_near_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_quality_classifier": bytecnn.op10_quality_classifier,
 }
 
 ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op3_warc": warc.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
