@@ -19,6 +19,7 @@ from tidemark.functions import text as tx
 from tidemark.functions import timing as tm
 from tidemark.operators import anchor as an
 from tidemark.operators import cues as cu
+from tidemark.storage import table
 
 def in_sentence():
     """The order of units in each sentence."""
@@ -118,11 +119,13 @@ def by_cues(placed: DataFrame, anchors: DataFrame, cues: DataFrame, offsets: Dat
 def reflow(cues: DataFrame, sentences: DataFrame, units: DataFrame, snap_ms: int = 300, speed: float = 5.0) -> DataFrame:
     """The timeline of all units: sentences are anchored and parted at shared cues; units lie on their own cues,
     unless they cannot be placed (then by text length) or would be too short to read (then by reading time)."""
-    offsets = an.cue_offsets(cues)
-    anchors = an.timed(an.on_cues(an.locate(cues, sentences), offsets), cues)
-    anchors = an.resolve_shared(anchors, cues, offsets)
+    # Each step joins what several earlier ones gave; written tables keep the plans from multiplying.
+    cues, sentences, units = (table(x, "reflow-in") for x in (cues, sentences, units))
+    offsets = table(an.cue_offsets(cues), "reflow-offsets")
+    places = table(an.on_cues(table(an.locate(cues, sentences), "reflow-places"), offsets), "reflow-held")
+    anchors = table(an.resolve_shared(an.timed(places, cues), cues, offsets), "reflow-anchors")
     bounds = cu.boundaries(cues)
-    own = by_cues(place_units(units, anchors), anchors, cues, offsets)
+    own = table(by_cues(table(place_units(units, anchors), "reflow-units"), anchors, cues, offsets), "reflow-own")
     text = own.join(units.select("doc_id", "seq", "unit_no", "zh"), ["doc_id", "seq", "unit_no"])
     hard = text.filter(tm.needs_interpolation(F.col("end") - F.col("start"), tm.reading_ms(F.col("zh"), speed))).select("doc_id", "seq").distinct()
     spans = units.join(anchors.select("doc_id", "seq", "start", "end"), ["doc_id", "seq"])

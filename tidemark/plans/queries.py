@@ -23,6 +23,7 @@ from tidemark.operators import words as wd
 from tidemark.plans import views as v
 from tidemark.sources import sinks
 from tidemark.sources import subtitles as sub
+from tidemark.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -695,4 +696,4 @@ def reflow_timeline(spark, d):
 @query()
 def reflow_alerts(spark, d):
     c, s, u = _story(spark, d)
-    return tl.alerts(tl.reflow(c, s, u), u)
+    return tl.alerts(table(tl.reflow(c, s, u), "reflow-timeline"), u)
