@@ -1,51 +1,12 @@
-"""Shared-folder tables and sizes that jobs of this subpackage need."""
+"""What the jobs of this subpackage need of storage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where it is
-    unset, as in tests on one machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def fresh(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` into the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = fresh(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    try:
-        spark.conf.set(CLEANUP, "true")  # shuffle files of this write go as soon as it is over
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidemark_path = path
-    return out
-
+from tidemark.storage import drop, fresh, shared_folder, table
 
-def drop(*tables: DataFrame) -> None:
-    """Delete tables made by ``table`` that nothing reads any more."""
-    for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["drop", "fresh", "read", "shared_folder", "table"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
