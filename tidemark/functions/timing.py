@@ -67,4 +67,4 @@ def owned_cues(cap: Column, average: Column) -> Column:
 
 def seconds_1(ms: Column) -> Column:
     """Seconds with one decimal, for display only; keep ms for computing."""
-    return F.format_number(ms / 1000, "0.0")
+    return F.format_string("%.1f", ms / F.lit(1000.0))

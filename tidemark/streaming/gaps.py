@@ -12,10 +12,10 @@ def gap_sessions(cues: DataFrame, gap_ms: int = 5000, late: str = "1 minute") ->
     """Sessions (doc_id, first, last, cues) of a stream of speech cues with event time ``ts`` and start_ms, end_ms.
 
     The gap is the cue's own duration and ``gap_ms``, so a session breaks where silence is longer; a cue exactly
-    at the threshold stays, as in batch. One ms is added as a session window is open at its end.
+    at the threshold stays, as in batch: sessions that touch are merged.
     """
     speech = cues.filter(~tx.is_pure_marker(F.col("text"))).withWatermark("ts", late)
-    reach = F.concat((F.col("end_ms") - F.col("start_ms") + gap_ms + 1).cast("string"), F.lit(" milliseconds"))
+    reach = F.concat((F.col("end_ms") - F.col("start_ms") + gap_ms).cast("string"), F.lit(" milliseconds"))
     out = speech.groupBy("doc_id", F.session_window("ts", reach)).agg(F.min("start_ms").alias("first_ms"), F.max("end_ms").alias("last_ms"), F.count(F.lit(1)).alias("cues"))
     return out.drop("session_window")
 
