@@ -35,14 +35,14 @@ BLOCK = 256  # half chunks convolved at once
 
 
 def pack(texts: list[bytes] | list[memoryview]) -> tuple[np.ndarray, np.ndarray]:
-    """Texts laid out in whole half chunks, with zero bytes of at least the filter's width behind each, and the
-    half chunks where each begins."""
+    """Texts laid out in whole half chunks, each after zero bytes of the filter's width, so no window sees bytes of
+    two texts; and the half chunks where each begins."""
     lengths = np.array([len(t) for t in texts], np.int64)
     halves = (lengths + WIDTH + HALF - 1) // HALF
     first = np.concatenate([[0], np.cumsum(halves)])
     data = np.zeros(int(first[-1]) * HALF + WIDTH, np.uint8)
     for t, at in zip(texts, first[:-1].tolist()):
-        data[at * HALF : at * HALF + len(t)] = np.frombuffer(t, np.uint8)
+        data[at * HALF + WIDTH : at * HALF + WIDTH + len(t)] = np.frombuffer(t, np.uint8)
     return data, first
 
 

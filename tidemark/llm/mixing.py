@@ -110,8 +110,8 @@ def _spread(df: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mixture with their own columns, repeated for each epoch that takes them."""
     taken = mix(docs, **options).groupBy("__id").agg(F.max("whole").alias("whole"), F.max("more").alias("more"))
-    columns = docs.columns
-    return _spread(docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"]))).select(*columns)
+    rows = docs.select(F.col("doc_id").alias("__doc"), F.struct(*docs.columns).alias("__row"))  # apart from any name
+    return _spread(rows.join(taken, rows["__doc"].eqNullSafe(taken["__id"]))).select("__row.*")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

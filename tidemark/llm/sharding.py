@@ -131,9 +131,9 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     out = out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard", (F.col("slot") + F.col("before")).cast("long").alias("slot"))
     drop(rows, groups)
     if keep:
-        taken = out.select(F.col(id_col).alias("__id"), "size", "text_crc32", "shard", "slot").withColumn("__n", F.row_number().over(W.partitionBy("__id").orderBy("text_crc32", "size", "slot")))
-        all_rows = docs.drop("size", "text_crc32", "shard", "slot").withColumn("__n", F.row_number().over(W.partitionBy(id_col).orderBy(F.crc32(text), F.octet_length(text))))
-        out = all_rows.join(taken, all_rows[id_col].eqNullSafe(taken["__id"]) & (all_rows["__n"] == taken["__n"])).drop("__n", "__id")
+        slots = out.select(F.col(id_col).alias("__id"), F.struct("size", "text_crc32", "shard", "slot").alias("__shard")).withColumn("__n", F.row_number().over(W.partitionBy("__id").orderBy("__shard.text_crc32", "__shard.size", "__shard.slot")))
+        held = docs.select(F.col(id_col).alias("__doc"), F.struct(*docs.columns).alias("__row"), F.row_number().over(W.partitionBy(id_col).orderBy(F.crc32(text), F.octet_length(text))).alias("__m"))
+        out = held.join(slots, held["__doc"].eqNullSafe(slots["__id"]) & (held["__m"] == slots["__n"])).select("__row.*", "__shard.*")
     return out
 
 
