@@ -28,9 +28,9 @@ EMBED, FILTERS, WIDTH, STRIDE, CHUNK = 8, 32, 8, 2, 512
 HALF = CHUNK // 2
 STEPS = HALF // STRIDE  # positions in half a chunk
 #: Fit: rows of each class, longest text, passes, rows in a batch, rate.
-PER_CLASS, LONGEST, EPOCHS, BATCH, RATE = 1500, 6000, 10, 48, 4e-3
+PER_CLASS, LONGEST, EPOCHS, BATCH, RATE = 1500, 6000, 14, 48, 4e-3
 #: Share of good documents that scores are calibrated to.
-GOOD = 0.75
+GOOD = 0.85
 BLOCK = 256  # half chunks convolved at once
 
 

@@ -209,3 +209,16 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: every document's set size, component and whether it stays."""
     return group(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: The contract's rows from all pairs that share a shingle.
+ORACLE = r"""with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+    s as (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(list_slice(w, i, i + 4), ' ') end h
+        from (select doc_id, w, unnest(range(1, cast(greatest(len(w) - 3, 2) as bigint))) i from d where len(w) > 0)),
+    n as (select doc_id, count(*) n from s group by 1),
+    p as (select a.doc_id x, b.doc_id y, count(*) i from s a join s b on a.h = b.h and a.doc_id < b.doc_id group by 1, 2),
+    l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * i >= 75 * (a.n + b.n - i)),
+    e as (select x, y from l union select y, x from l),
+    r as (select doc_id, doc_id c from d union select r.doc_id, e.y from r join e on e.x = r.c),
+    m as (select doc_id, min(c) component_id from r group by 1)
+    select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept from m left join n using (doc_id)"""

@@ -19,4 +19,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op3_warc": warc.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
+ORACLE_SQL = {"op1_mixing": mixing.oracle(), "op2_substring_dedup": substring.ORACLE, "op3_warc": warc.ORACLE, "op8_near_dedup": neardup.ORACLE, "op9_quality_rules": quality_rules.ORACLE}

@@ -255,3 +255,13 @@ def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: every document's words, removed words and digest of what is kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeats(docs, kept_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: The contract's rows by comparing all windows.
+ORACLE = r"""with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+    g as (select doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) k from (select doc_id, w, unnest(range(1, cast(len(w) - 18 as bigint))) i from d where len(w) >= 20)),
+    f as (select doc_id, i, row_number() over (partition by k order by doc_id, i) r from g),
+    c as (select distinct doc_id, p from (select doc_id, unnest(range(i, i + 20)) p from f where r > 1)),
+    a as (select doc_id, p, w[p] x from (select doc_id, w, unnest(range(1, cast(len(w) + 1 as bigint))) p from d)),
+    k as (select a.doc_id, count(*) n, string_agg(x, ' ' order by a.p) t from a anti join c on c.doc_id = a.doc_id and c.p = a.p group by 1)
+    select d.doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256 from d left join k using (doc_id)"""
