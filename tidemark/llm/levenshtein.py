@@ -65,7 +65,7 @@ class Lexicon:
             for label, child in self.next[node].items():
                 if e + (label != c) <= self.most[child]:
                     out.add((child, e + (label != c)))
-            if e + 1 <= self.most[node] and node:
+            if e + 1 <= self.most[node]:
                 out.add((node, e + 1))  # one character too many
         out = {(n, e) for n, e in out if not any((n, x) in out for x in range(e))}
         to = self.moves[state][c] = self._state(out) if out else -1
