@@ -96,12 +96,13 @@ FOLD_FROM, FOLD_TO = _folds()
 
 def norm(c: Column) -> Column:
     """Letters without marks, lower-cased; only a-z, 0-9 and the apostrophe stay."""
-    return F.regexp_replace(F.lower(F.translate(c, FOLD_FROM, FOLD_TO)), "[^a-z0-9']", "")
+    folded = F.when(F.octet_length(c) > F.length(c), F.translate(c, FOLD_FROM, FOLD_TO)).otherwise(c)  # plain ASCII has no marks
+    return F.regexp_replace(F.lower(folded), "[^a-z0-9']+", "")
 
 
 def norm_ascii(c: Column) -> Column:
     """Like ``norm`` without folding marks: marked letters go."""
-    return F.regexp_replace(F.lower(c), "[^a-z0-9']", "")
+    return F.regexp_replace(F.lower(c), "[^a-z0-9']+", "")
 
 
 def norm_offsets(c: Column) -> Column:

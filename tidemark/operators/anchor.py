@@ -37,12 +37,18 @@ def locate(cues: DataFrame, sentences: DataFrame, normal=tx.norm) -> DataFrame:
     wanted = sentences.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", normal(F.col("sentence")).alias("n")))).alias("s"))
     both = wanted.join(full, "doc_id", "left").withColumn("full", F.coalesce("full", F.lit("")))
 
-    def place(x: Column) -> Column:
-        first = F.when(x["n"] != "", F.position(x["n"], F.col("full")))
-        again = F.position(x["n"], F.col("full"), first + 1)
-        return F.struct(x["seq"].alias("seq"), F.length(x["n"]).alias("len"), first.alias("first"), F.when(first > 0, again).alias("again"))
+    # A literal pattern is searched by skipping (Boyer-Moore), unlike ``position``, which compares at every place. In two
+    # steps: a lambda's expression is evaluated wherever it stands, so the first place is bound before use.
+    def find(text: Column, n: Column) -> Column:
+        return F.regexp_instr(text, F.concat(F.lit("\\Q"), n, F.lit("\\E")))
 
-    out = both.select("doc_id", F.explode(F.transform("s", place)).alias("x"))
+    def first(x: Column) -> Column:
+        return F.struct(x["seq"].alias("seq"), x["n"].alias("n"), F.when(x["n"] != "", find(F.col("full"), x["n"])).alias("first"))
+
+    def second(x: Column) -> Column:
+        return F.struct(x["seq"].alias("seq"), F.length(x["n"]).alias("len"), x["first"].alias("first"), F.when(x["first"] > 0, find(F.substring("full", x["first"] + 1, F.length("full")), x["n"])).alias("again"))
+
+    out = both.select("doc_id", F.explode(F.transform(F.transform("s", first), second)).alias("x"))
     ok = F.col("x.first") > 0
     status = F.when(~F.coalesce(ok, F.lit(False)), "failed").when(F.col("x.again") > 0, "non-unique").otherwise("unique")
     pos = F.when(ok, F.col("x.first") - 1).cast("bigint")
