@@ -202,3 +202,20 @@ def test_streaming_matches_batch(spark, tmp_path):
     assert got == want == [(0, 2), (12001, 1), (400000, 1)]
     e = spark.createDataFrame([(base, "x"), (base, "x")], "ts timestamp, event_type string")
     assert windowed_counts(e).first()["n"] == 2
+
+
+def test_remaining_readers_and_checks(spark):
+    from tidemark.operators import checks as ck
+
+    f = lambda t: spark.createDataFrame([(1, t)], "doc_id long, value string")
+    t = pl.parse_template(f("## S?_Z1\n- EN: <x>\n- ZH: 一二\n### S?_Z1a\n- ZH: 一\n### S?_Z1b\n- ZH: 二\n## S?_Z2\n- ZH: 三")).orderBy("z").collect()
+    assert [(r["z"], r["text"], r["parts"]) for r in t] == [(1, "一二", ["一", "二"]), (2, "三", ["三"])]
+    assert [tuple(r)[1:] for r in pl.parse_gap_report(f("## 1. c3 → c4 （6.5s）\nx")).collect()] == [(3, 4, 6500)]
+    kinds = spark.createDataFrame([(1, "1\n00:00:01,000 --> 00:00:02,000\nx"), (2, "1|c1|x"), (3, "y")], "doc_id long, value string")
+    assert {r["doc_id"]: r["kind"] for r in pl.kind_of(kinds).collect()} == {1: "srt", 2: "segments", 3: "text"}
+    assert pl.positional_terms(spark.createDataFrame([tuple("abcdefgh")], list("stuvwxyz"))).first() == ("c", "h")
+    src = spark.createDataFrame([(1, 1, "a b c"), (1, 2, "a b"), (1, 3, "a")], "doc_id long, chunk_no long, text string")
+    out = spark.createDataFrame([(1, 1, "a b 【承接句】c."), (1, 2, "a x")], "doc_id long, chunk_no long, text string")
+    assert {r["chunk_no"]: (r["status"], r["instead"]) for r in ck.wording(src, out).collect()} == {1: ("subset", None), 2: ("differs", "x"), 3: ("missing", None)}
+    assert ck.ends(spark.createDataFrame([([1, 2, 3, 4],)], "a array<int>"), "a", 2).first()["tail"] == [3, 4]
+    assert ck.summary(ck.wording(src, out)).count() == 3

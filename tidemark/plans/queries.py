@@ -15,6 +15,7 @@ from tidemark.functions import packing as pk
 from tidemark.functions import text as tx
 from tidemark.functions import timing as tm
 from tidemark.operators import anchor as an
+from tidemark.operators import checks as ck
 from tidemark.operators import cues as cu
 from tidemark.operators import glossary as gl
 from tidemark.operators import housekeeping as hk
@@ -645,6 +646,32 @@ def page_markdown(spark, d):
     return sinks.page_markdown(p)
 
 
+_WORDING = ALL + """, t as (select doc_id, chunk_no, string_agg(text, ' ' order by pos) t from chunked group by 1, 2),
+    b as (select doc_id, chunk_no, regexp_extract_all(lower(t), '[a-z0-9'']+') x, chunk_no % 5 = 0 lost, regexp_extract_all(lower(case when chunk_no % 3 = 0 then replace(t, 'the', 'tha') else t end), '[a-z0-9'']+') y from t),
+    p as (select *, list_min(list_filter(range(greatest(len(x), len(y), 1)), lambda i: x[i + 1] is distinct from y[i + 1])) i, case when lost then 'missing' when x = y then 'same' else 'differs' end status from b)
+    select doc_id, chunk_no, status, cast(case when status = 'differs' then i end as bigint) "at", case when status = 'differs' then x[i + 1] end word, case when status = 'differs' then y[i + 1] end instead from p"""
+
+
+@query(_WORDING)
+def wording_check(spark, d):
+    c = cu.chunk(v.cues(spark, d), 3, 0, 5000)
+    t = c.groupBy("doc_id", "chunk_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
+    changed = F.when(F.col("chunk_no") % 3 == 0, F.replace("text", F.lit("the"), F.lit("tha"))).otherwise(F.col("text"))
+    return ck.wording(t, t.filter("chunk_no % 5 <> 0").withColumn("text", changed))
+
+
+@query(f"with {v.CUES}, u as (select doc_id, idx // 2 seq, idx unit_no from cues where not (doc_id % 10 = 0 and idx = 1)), n as (select *, count(*) over (partition by doc_id, seq) n, row_number() over (partition by doc_id order by seq, unit_no) place from u), c as (select *, row_number() over (partition by doc_id order by start_ms, idx) place, end_ms - start_ms d, cast(trunc((length(text) - 0.5 * length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g'))) * 1000.0 / 5.0) as bigint) need from cues), r as (select c.doc_id, seq, unit_no, d, n, need from c join n using (doc_id, place) where c.doc_id % 10 <> 0) select doc_id, seq, unit_no, d, case when n >= 2 then 'fragment' else 'short sentence' end as rule from r where d < 1000 union all select doc_id, seq, unit_no, d, 'mismatch' from r where need > 0 and d < need * 0.7 and need * 0.7 - d >= 300 union all select distinct doc_id, null, null, null, 'count' from cues where doc_id % 10 = 0")
+def duration_check(spark, d):
+    c = v.cues(spark, d)
+    units = c.filter("not (doc_id % 10 = 0 and idx = 1)").select("doc_id", F.expr("idx div 2").alias("seq"), F.col("idx").alias("unit_no"))
+    return ck.durations(c, units)
+
+
+@query(f"with {v.CUES}, w as (select doc_id, idx, cast(length(text) - 0.5 * length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g')) as double) width from cues) select doc_id, idx, width, case when width > 26 then 'ERROR' else 'WARN' end flag from w where width > 22")
+def width_check(spark, d):
+    return ck.widths(v.cues(spark, d).withColumn("body", F.array(F.lit("en"), "text")))
+
+
 # Sequential operators: no SQL twin; tests hold them against plain Python.
 
 

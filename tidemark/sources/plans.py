@@ -98,3 +98,38 @@ def parse_front_matter(files: DataFrame) -> DataFrame:
     pairs = F.filter(F.transform(F.split(meta, "\n"), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("v"))), lambda x: x["k"] != "")
     has = F.col("value").rlike(pattern)
     return files.select("doc_id", F.when(has, F.map_from_entries(F.array_distinct(pairs))).alias("meta"), F.when(has, F.regexp_extract("value", pattern, 2)).otherwise(F.col("value")).alias("body"))
+
+
+def parse_template(files: DataFrame) -> DataFrame:
+    """Blocks ``## ..Z<n>`` of a template with their ZH line and the ZH lines of their ``###`` parts in order; a block
+    without parts has its own text as its one part."""
+    rows = _lines(files)
+    by_line = W.partitionBy("doc_id").orderBy("pos")
+    head = F.when(F.col("line").rlike(r"^## .*Z\d+"), F.regexp_extract("line", r"Z(\d+)", 1).cast("bigint"))
+    rows = rows.withColumn("z", F.last(head, ignorenulls=True).over(by_line)).withColumn("block", F.count(head).over(by_line)).filter("block > 0")
+    rows = rows.withColumn("part", F.count(F.when(F.startswith("line", F.lit("### ")), 1)).over(W.partitionBy("doc_id", "block").orderBy("pos")))
+    zh = rows.filter(F.col("line").rlike(r"^- ZH:")).withColumn("text", F.regexp_extract("line", r"^- ZH:\s?(.*)$", 1))
+    parts = F.transform(F.array_sort(F.collect_list(F.when(F.col("part") > 0, F.struct("part", "text")))), lambda x: x["text"])
+    out = zh.groupBy("doc_id", "block", "z").agg(F.min_by(F.when(F.col("part") == 0, F.col("text")), F.when(F.col("part") == 0, F.col("pos"))).alias("text"), parts.alias("parts"))
+    return out.select("doc_id", "z", "text", F.when(F.size("parts") > 0, F.col("parts")).when(F.col("text").isNotNull(), F.array("text")).otherwise(F.col("parts")).alias("parts"))
+
+
+def parse_gap_report(files: DataFrame) -> DataFrame:
+    """Gaps of a report, in ms from seconds with one decimal (so rounded; tables keep ms)."""
+    pattern = r"^###?\s*\d+\.\s*c(\d+)\s*→\s*c(\d+)\s*（([\d.]+)s）"
+    rows = _lines(files).filter(F.col("line").rlike(pattern))
+    g = lambda i: F.regexp_extract("line", pattern, i)
+    return rows.select("doc_id", g(1).cast("bigint").alias("ia"), g(2).cast("bigint").alias("ib"), (g(3).cast("double") * 1000).cast("bigint").alias("gap_ms"))
+
+
+def kind_of(files: DataFrame) -> DataFrame:
+    """'srt', 'segments' or 'text' of each file, by its first 4096 characters."""
+    head = F.left("value", F.lit(4096))
+    return files.select("doc_id", F.when(head.rlike(r"\d{2}:\d{2}:\d{2},\d{3}\s*-->"), "srt").when(head.rlike(r"(?m)^\d+\|c\d+"), "segments").otherwise("text").alias("kind"))
+
+
+def positional_terms(df: DataFrame, en: int = 2, zh: int = 7, least: int = 8) -> DataFrame:
+    """(en, zh) of a CSV by column places; a table of fewer columns has none."""
+    if len(df.columns) < least:
+        return df.sparkSession.createDataFrame([], "en string, zh string")
+    return df.select(F.col(f"`{df.columns[en]}`").alias("en"), F.col(f"`{df.columns[zh]}`").alias("zh"))
