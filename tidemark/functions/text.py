@@ -11,14 +11,13 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Marks of sentences that a chunk border cut, and of text outside speech.
-CARRIED, CONTINUED = "【承接句】", "【延伸句】"
+# Patterns of the marks of sentences that a chunk border cut and of text outside speech, English
+# abbreviations that end in a stop, and the ranges of full-width characters and of Chinese ideographs.
 STITCH = "(?s)【延伸句】.*?[.?!。]|【承接句】.*?(?:[.?!。]|(?=\\n)|$)"
 STITCH_PREFIX = "【(?:承接句|延伸句)】"
 BRACKETED = r"\[[^\]]*\]"
 ABBREVIATIONS = "Mr Mrs Ms Dr Prof Rev St Sr Jr vs etc al Inc Ltd Corp Co Dept Fig Eq No Vol e\\.g i\\.e approx min max hr sec Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec".split()
 CJK = "\\x{2e80}-\\x{9fff}\\x{ac00}-\\x{d7af}\\x{3040}-\\x{30ff}\\x{f900}-\\x{faff}\\x{ff00}-\\x{ffef}"
-#: The same class without the kana and Hangul ranges that lie inside or beside the first.
 HAN = "\\x{4e00}-\\x{9fff}"
 
 

@@ -78,9 +78,9 @@ def norm_ascii(spark, d):
     return docs(spark, d).select("doc_id", F.md5(tx.norm_ascii(F.col("text"))).alias("h"))
 
 
-@query("""with c as (select doc_id, string_split(substr(lower(coalesce(text,'')), 1, 200), '') cs from documents) select doc_id, array_to_string(list_filter(list_transform(range(len(cs)), lambda i: case when regexp_matches(cs[i + 1], '^[a-z0-9'']$') then i end), lambda x: x is not null), ',') offsets from c""")
+@query("""select doc_id, md5(o) offsets from (with c as (select doc_id, string_split(lower(coalesce(text,'')), '') cs from documents) select doc_id, array_to_string(list_filter(list_transform(range(len(cs)), lambda i: case when regexp_matches(cs[i + 1], '^[a-z0-9'']$') then i end), lambda x: x is not null), ',') o from c)""")
 def norm_offsets(spark, d):
-    return docs(spark, d).select("doc_id", F.array_join(tx.norm_offsets(F.substring("text", 1, 200)), ",").alias("offsets"))
+    return docs(spark, d).select("doc_id", F.md5(F.array_join(tx.norm_offsets(F.col("text")), ",")).alias("offsets"))
 
 
 @query("select doc_id, md5(regexp_replace(coalesce(text,'') || '中文，12。', '[^一-鿿0-9A-Za-z]', '', 'g')) h from documents")
@@ -108,10 +108,10 @@ def sentence_counts(spark, d):
     return docs(spark, d).select("doc_id", big(F.size(tx.sentences_en(F.col("text")))).alias("n"))
 
 
-@query(r"""with t as (select doc_id, trim(regexp_replace(substr(coalesce(text,''),1,60) || '。好？！ 末尾', '\s+', ' ', 'g')) t from documents)
+@query(r"""with t as (select doc_id, trim(regexp_replace(coalesce(text,'') || '。好？！ 末尾', '\s+', ' ', 'g')) t from documents)
 select doc_id, array_to_string(list_filter(list_transform(list_append(regexp_extract_all(t, '[^。？！]*[。？！]'), regexp_replace(t, '[^。？！]*[。？！]', '', 'g')), lambda x: trim(x)), lambda x: x <> ''), '|') s from t""")
 def sentence_split_zh(spark, d):
-    return docs(spark, d).select("doc_id", F.array_join(tx.sentences_zh(F.concat(F.substring("text", 1, 60), F.lit("。好？！ 末尾"))), "|").alias("s"))
+    return docs(spark, d).select("doc_id", F.array_join(tx.sentences_zh(F.concat("text", F.lit("。好？！ 末尾"))), "|").alias("s"))
 
 
 _QUALITY = f"with {v.DOC_SENTENCES}, q as (select doc_id, length(sentence) c, length(sentence) - length(replace(sentence, ',', '')) k from doc_sentences), a as (select doc_id, count(*) sentences, cast(sum(c) as bigint) chars, cast(max(c) as bigint) longest, cast(max(k) as bigint) commas, cast(count(*) filter (k > 10 or c > 600) as bigint) hard, cast(count(*) filter (k >= 8 and c >= 250) as bigint) soft from q group by 1)"
@@ -127,9 +127,9 @@ def sentence_quality_flagged(spark, d):
     return wd.sentence_quality(v.doc_sentences(spark, d)).filter("hard > 0 or soft > 0").select("doc_id", "hard", "soft")
 
 
-@query("""with t as (select doc_id, substr(coalesce(text,''),1,80) || '【延伸句】tail of it. Next 【承接句】lead' t from documents) select doc_id, regexp_replace(t, '(?s)【延伸句】.*?[.?!。]|【承接句】.*?(?:[.?!。]|$)', '', 'g') stripped, regexp_replace(t, '【(?:承接句|延伸句)】', '', 'g') bare, cast(len(regexp_extract_all(t, '【(?:承接句|延伸句)】')) as bigint) marks from t""")
+@query("""with t as (select doc_id, coalesce(text,'') || '【延伸句】tail of it. Next 【承接句】lead' t from documents) select doc_id, regexp_replace(t, '(?s)【延伸句】.*?[.?!。]|【承接句】.*?(?:[.?!。]|$)', '', 'g') stripped, regexp_replace(t, '【(?:承接句|延伸句)】', '', 'g') bare, cast(len(regexp_extract_all(t, '【(?:承接句|延伸句)】')) as bigint) marks from t""")
 def strip_marks(spark, d):
-    t = docs(spark, d).select("doc_id", F.concat(F.substring("text", 1, 80), F.lit("【延伸句】tail of it. Next 【承接句】lead")).alias("t"))
+    t = docs(spark, d).select("doc_id", F.concat("text", F.lit("【延伸句】tail of it. Next 【承接句】lead")).alias("t"))
     return t.select("doc_id", tx.strip_stitch_marks(F.col("t")).alias("stripped"), tx.strip_stitch_prefix(F.col("t")).alias("bare"), big(F.size(tx.residual_marks(F.col("t")))).alias("marks"))
 
 
@@ -138,10 +138,10 @@ def pure_marker(spark, d):
     return v.cues(spark, d).select("doc_id", "idx", tx.is_pure_marker(F.col("text")).alias("marker"))
 
 
-@query("""with t as (select doc_id, case doc_id % 4 when 0 then t || '（' when 1 then t || '“”' when 2 then t || '“' else t || '()' end t from (select doc_id, substr(coalesce(text,''),1,100) t from documents))
+@query("""with t as (select doc_id, case doc_id % 4 when 0 then t || '（' when 1 then t || '“”' when 2 then t || '“' else t || '()' end t from (select doc_id, coalesce(text,'') t from documents))
 select doc_id, case when length(t)-length(replace(t,'（','')) <> length(t)-length(replace(t,'）','')) or length(t)-length(replace(t,'(','')) <> length(t)-length(replace(t,')','')) then 'bracket' else 'ok' end bracket, case when length(t)-length(replace(t,'“','')) <> length(t)-length(replace(t,'”','')) or (length(t)-length(replace(t,'"',''))) % 2 <> 0 then 'quote' else 'ok' end quotes from t""")
 def bracket_balance(spark, d):
-    t = F.concat(F.substring("text", 1, 100), F.when(F.col("doc_id") % 4 == 0, "（").when(F.col("doc_id") % 4 == 1, "“”").when(F.col("doc_id") % 4 == 2, "“").otherwise("()"))
+    t = F.concat("text", F.when(F.col("doc_id") % 4 == 0, "（").when(F.col("doc_id") % 4 == 1, "“”").when(F.col("doc_id") % 4 == 2, "“").otherwise("()"))
     return docs(spark, d).select("doc_id", t.alias("t")).select("doc_id", tx.bracket_state(F.col("t")).alias("bracket"), tx.quote_state(F.col("t")).alias("quotes"))
 
 
@@ -168,15 +168,15 @@ def label_parse(spark, d):
     return v.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", label.alias("label")).select("*", tx.label_gid(F.col("label")).alias("gid"), tx.label_part(F.col("label")).alias("part"))
 
 
-@query(r"""with t as (select doc_id, '甲 乙  丙 ' || substr(coalesce(text,''),1,60) || ' 丁 12 戊 己' t from documents) select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(t, '([⺀-鿿가-힯豈-﫿＀-￯])\s+([⺀-鿿가-힯豈-﫿＀-￯])', '\1\2', 'g'), '([⺀-鿿가-힯豈-﫿＀-￯])\s+([⺀-鿿가-힯豈-﫿＀-￯])', '\1\2', 'g'), '\s+', ' ', 'g')) t from t""")
+@query(r"""with t as (select doc_id, '甲 乙  丙 ' || coalesce(text,'') || ' 丁 12 戊 己' t from documents) select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(t, '([⺀-鿿가-힯豈-﫿＀-￯])\s+([⺀-鿿가-힯豈-﫿＀-￯])', '\1\2', 'g'), '([⺀-鿿가-힯豈-﫿＀-￯])\s+([⺀-鿿가-힯豈-﫿＀-￯])', '\1\2', 'g'), '\s+', ' ', 'g')) t from t""")
 def collapse_mixed(spark, d):
-    t = F.concat(F.lit("甲 乙  丙 "), F.substring("text", 1, 60), F.lit(" 丁 12 戊 己"))
+    t = F.concat(F.lit("甲 乙  丙 "), "text", F.lit(" 丁 12 戊 己"))
     return docs(spark, d).select("doc_id", tx.collapse_mixed(t).alias("t"))
 
 
-@query("""select doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(t, '([，；：])', '\\1' || chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), '|') pieces from (select doc_id, '先看这里，' || substr(replace(coalesce(text,''), chr(10), ' '), 1, 40) || '；再说：好' t from documents)""")
+@query("""select doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(t, '([，；：])', '\\1' || chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), '|') pieces from (select doc_id, '先看这里，' || replace(coalesce(text,''), chr(10), ' ') || '；再说：好' t from documents)""")
 def split_punct(spark, d):
-    t = F.concat(F.lit("先看这里，"), F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(1), F.lit(40)), F.lit("；再说：好"))
+    t = F.concat(F.lit("先看这里，"), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("；再说：好"))
     return docs(spark, d).select("doc_id", F.array_join(tx.split_by_punct(t, "，；："), "|").alias("pieces"))
 
 
