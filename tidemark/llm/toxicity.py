@@ -34,6 +34,8 @@ QUOTES = "\"'“”„‟«»‹›‘’`"
 EDGE = " \t\n.,;:!?()[]{}<>|/\\*#$%&=+~^_-–—…" + QUOTES
 #: Words on each side that make a hit's context; lexicon size; lengths of stems; needed precision.
 CONTEXT, TERMS, STEMS, PRECISION = 6, 400, range(4, 9), 0.85
+#: Words of a stem that a document may be asked to hold.
+MOST = 3
 CACHE = 1_000_000
 
 
@@ -63,50 +65,59 @@ def independent(rows: list[tuple[str, int]], share: float = 0.2) -> list[tuple[s
     return out
 
 
-def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, int], dict[str, int]]:
-    """Terms and stems with the errors they allow. A stem needs four different words that go on from it; of a
-    chain of stems the longest stands that keeps most of the shortest one's documents."""
+def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
+    """Terms and stems with the errors they allow, and the words of a stem that a document must hold.
+
+    A stem needs four different words that go on from it, and may be one that ordinary texts hold now and then: it
+    then counts from its second or third word on, whichever is the first to tell. Of a chain of stems the longest
+    stands that keeps most of the shortest one's documents.
+    """
     toxic, total = Counter(), Counter()
     forms: dict[str, set[str]] = defaultdict(set)
     rows = independent(rows)
     for text, y in rows:
-        words = {w for w in (x.strip(EDGE) for x in text.lower().split()) if len(w) > 2}
-        keys = words | {(w[:n],) for w in words for n in STEMS if len(w) > n}
+        found = Counter(w for w in (x.strip(EDGE) for x in text.lower().split()) if len(w) > 2)
+        begun: Counter = Counter()
+        for w, c in found.items():
+            for n in STEMS:
+                if len(w) > n:
+                    begun[w[:n]] += c
+                    if y and len(forms[w[:n]]) < 4:
+                        forms[w[:n]].add(w)
+        keys = [*found, *((p, t) for p, c in begun.items() for t in range(1, min(c, MOST) + 1))]
         total.update(keys)
         if y:
             toxic.update(keys)
-            for w in words:
-                for n in STEMS:
-                    if len(w) > n and len(forms[w[:n]]) < 4:
-                        forms[w[:n]].add(w)
     n_toxic = sum(y for _, y in rows)
-    terms = dict.fromkeys(SEED, 0)
-    stems: set[str] = set()
+    terms, stems = dict.fromkeys(SEED, 0), {}
     if 0 < n_toxic < len(rows):
         base = n_toxic / len(rows)
         tested = [k for k in toxic if toxic[k] >= 4]
         need = math.log(max(len(tested), 2)) + 3
-        good = {k: _gain(toxic[k], total[k], base) for k in tested if toxic[k] >= PRECISION * total[k]}
-        good = {k: g for k, g in good.items() if g >= need}
-        chains = sorted((k[0] for k in good if isinstance(k, tuple)), key=len)
-        for stem in chains:
-            if any(stem[:n] in stems or (stem[:n],) in good for n in STEMS if n < len(stem)):
+        good = {k: g for k in tested if toxic[k] >= PRECISION * total[k] and (g := _gain(toxic[k], total[k], base)) >= need}
+        least: dict[str, int] = {}
+        for p, t in (k for k in good if isinstance(k, tuple)):
+            least[p] = min(t, least.get(p, t))
+        for stem in sorted(least, key=len):
+            if any(stem[:n] in least for n in STEMS if n < len(stem)):
                 continue  # not the shortest of its chain
-            longer = [x for x in chains if x.startswith(stem) and toxic[(x,)] >= 0.9 * toxic[(stem,)]]
-            whole = [k for k in good if isinstance(k, str) and k.startswith(stem) and toxic[k] >= 0.9 * toxic[(stem,)]]
+            t = least[stem]
+            longer = [x for x in least if x.startswith(stem) and least[x] <= t and toxic[(x, least[x])] >= 0.9 * toxic[(stem, t)]]
+            whole = [k for k in good if isinstance(k, str) and k.startswith(stem) and toxic[k] >= 0.9 * toxic[(stem, t)]]
             stem = max(longer, key=lambda x: (len(x), x))
             if not whole and len(forms[stem]) >= 4:
-                stems.add(stem)
+                stems[stem] = least[stem]
         best = sorted((k for k in good if isinstance(k, str) and not any(k.startswith(s) for s in stems)), key=lambda k: (-good[k], k))
         terms = dict.fromkeys([*best[:TERMS], *(s for s in SEED if s not in total or toxic[s] >= PRECISION * total[s])], 0)
-    return {t: errors_for(t, False) for t in terms}, {s: errors_for(s, True) for s in sorted(stems)[:TERMS]}
+    kept = sorted(stems)[:TERMS]
+    return {t: errors_for(t, False) for t in terms}, {x: errors_for(x, True) for x in kept}, {x: stems[x] for x in kept}
 
 
 class Scanner:
     """Finds hits of a lexicon in slices of text; remembers the words it has seen, up to a bound."""
 
-    def __init__(self, terms: dict[str, int], stems: dict[str, int], excluded: frozenset[str] = frozenset()) -> None:
-        self.lexicon, self.excluded = Lexicon(terms, stems), excluded
+    def __init__(self, terms: dict[str, int], stems: dict[str, int], least: dict[str, int], excluded: frozenset[str] = frozenset()) -> None:
+        self.lexicon, self.least, self.excluded = Lexicon(terms, stems), least, excluded
         self.seen: set[int] = set()
         self.hits: dict[int, tuple[str, int, bool]] = {}
 
@@ -138,7 +149,19 @@ class Scanner:
                 a, b = max(int(words.first[d]), i - CONTEXT), min(int(words.first[d + 1]), i + CONTEXT + 1)
                 near = [words.word(j).decode("utf-8", "replace") for j in range(a, b)]
                 out[d].append((*self.hits[int(hashes[i])], context(near, i - a)))
-        return words.count, out
+        return words.count, [self._counted(h) for h in out]
+
+    def _counted(self, hits: list[tuple[str, int, bool, float]]) -> list[tuple[str, int, bool, float]]:
+        """Without the first words of stems that count from a later one on."""
+        if all(self.least.get(t, 1) == 1 for t, *_ in hits):
+            return hits
+        seen: Counter = Counter()
+        out = []
+        for hit in hits:
+            seen[hit[0]] += hit[2]
+            if not hit[2] or seen[hit[0]] >= self.least.get(hit[0], 1):
+                out.append(hit)
+        return out
 
 
 def context(words: list[str], at: int) -> float:
@@ -161,13 +184,17 @@ def context(words: list[str], at: int) -> float:
     return weight
 
 
+#: A misspelled hit counts as so much of an exact one. It is not fitted: labelled texts may hold no misspelling at all.
+FUZZY = 0.8
+
+
 def features(n_words: int, hits: list[tuple[str, int, bool, float]]) -> list[float]:
-    exact = sum(w for _, e, _, w in hits if not e)
-    fuzzy = sum(w for _, e, _, w in hits if e)
-    return [1.0, min(exact, 3.0), math.log1p(exact), math.log1p(fuzzy), math.log1p(100 * (exact + 0.5 * fuzzy) / max(n_words, 20)), float(len({t for t, *_ in hits}) > 1)]
+    """Intercept, whether there is a full hit, sum and density of weighted hits, more than one term."""
+    total = sum(w * (FUZZY if e else 1) for _, e, _, w in hits)
+    return [1.0, min(total, 1.0), math.log1p(total), math.log1p(100 * total / max(n_words, 20)), float(len({t for t, *_ in hits}) > 1)]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 40) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 60) -> np.ndarray:
     """Ridge logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
@@ -184,22 +211,22 @@ class Model:
     """Lexicon and weights; small, sent to the executors with the task."""
 
     def __init__(self, rows: list[tuple[str, int]]) -> None:
-        self.terms, self.stems = learn_lexicon(rows)
+        self.terms, self.stems, self.least = learn_lexicon(rows)
         rows = independent(rows)
-        scanner = Scanner(self.terms, self.stems)
+        scanner = Scanner(self.terms, self.stems, self.least)
         counts, hits = scanner(pa.array([t for t, _ in rows], pa.string()))
         y = np.array([y for _, y in rows], float)
         # Spellings near a term that clean documents use are words of their own.
         spelled = Counter(w for (t, label), own in zip(rows, hits) if not label and any(h[1] for h in own) for w in {x.lower().strip(EDGE) for x in t.split()} if (m := scanner.lexicon.match(w)) and m[1])
         self.excluded = frozenset(spelled)
         if 0 < y.sum() < len(y):
-            counts, hits = Scanner(self.terms, self.stems, self.excluded)(pa.array([t for t, _ in rows], pa.string()))
+            counts, hits = Scanner(self.terms, self.stems, self.least, self.excluded)(pa.array([t for t, _ in rows], pa.string()))
             self.weights = fit_logistic(np.array([features(int(n), h) for n, h in zip(counts, hits)]), y)
         else:
-            self.weights = np.array([-4.0, 2.0, 0.5, 0.5, 0.5, 0.5])
+            self.weights = np.array([-4.0, 3.0, 0.7, 0.5, 0.5])
 
     def scanner(self) -> Scanner:
-        return Scanner(self.terms, self.stems, self.excluded)
+        return Scanner(self.terms, self.stems, self.least, self.excluded)
 
 
 def _score(model: Model) -> Callable:
