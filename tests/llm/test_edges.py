@@ -129,3 +129,19 @@ def test_classifier(docs, labels):
     by = {r["doc_id"]: r["score"] for r in out.filter("doc_id is not null").collect()}
     assert by[3] == by[4] and by[1] == pytest.approx(by[2])
     assert bytecnn.score(docs.limit(0), net).count() == 0
+
+
+def test_rows_of_null_and_repeated_ids(spark):
+    """Different texts of one id, or without an id, are judged one by one."""
+    word = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    near = word(1) + " more"
+    rows = [(None, word(0)), (None, word(1)), (None, near), (None, near), (None, ""), (None, ""), (None, None), (5, word(2)), (5, word(3)), (5, word(3)), (6, word(3)), (None, word(2) + " x"), (7, ""), (None, TEXT), (8, TEXT), (8, word(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in neardup.deduplicate(docs).collect()]
+    ones = [x for x in kept if x[1] in (word(1), near)]
+    assert len(ones) == 1
+    want = [(None, word(0)), (None, ""), (None, ""), (None, None), (5, word(2)), (5, word(3)), (7, ""), (8, TEXT), (8, word(4)), *ones]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+    bench = spark.createDataFrame([(1, TEXT)], "item_id long, text string")
+    left = [tuple(r) for r in decontaminate.remove_leaks(docs, bench).collect()]
+    assert sorted(left, key=str) == sorted((x for x in rows if x[1] != TEXT), key=str)

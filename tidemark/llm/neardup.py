@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.runtime import drop, table
+from tidemark.llm.runtime import drop, row_key, table
 from tidemark.llm.superminhash import SLOTS, bands, overlap, shingles, signatures
 from tidemark.llm.wordscan import scan, slices
 
@@ -134,10 +134,11 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Sets of the classes ``ids``: a broadcast filter while there are few, else a join by id."""
-    few = ids.limit(BROADCAST + 1).count() <= BROADCAST
-    chosen = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    return table(chosen.mapInArrow(_gather, SETS), "dup-sets")
+    """Sets of the classes ``ids``, one each: a broadcast filter while there are few, else a join by id."""
+    count = ids.count()
+    chosen = texts.join(F.broadcast(ids) if count <= BROADCAST else ids, "id", "left_semi")
+    sets = table(chosen.mapInArrow(_gather, SETS), "dup-sets")
+    return sets if sets.count() == count else sets.dropDuplicates(["id"])  # repeated rows
 
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,9 +202,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group, and every document without words."""
-    kept = group(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay: one of each group, that of the least id, and every document without words.
+
+    Rows are grouped by ``row_key``, so different texts of one id, or without an id, are documents of their own.
+    """
+    rows = docs.select("doc_id", "text", row_key().alias("__row"))
+    found = group(rows, "__row").select("__row", "n_shingles", "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    least = found.join(rows.select("__row", "doc_id").distinct(), "__row").groupBy("component_id").agg(F.min(order).alias("x"), F.max("n_shingles").alias("__n"))
+    kept = least.select("x.__row", "__n")
+    # Of repeated rows one stays; without words, each.
+    own = F.when(F.col("__n") > 0, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
+    whole = docs.select(F.struct(*docs.columns).alias("__doc"), row_key().alias("__row"))  # apart from any name
+    return whole.join(kept, "__row").withColumn("__own", own).dropDuplicates(["__row", "__own"]).select("__doc.*")
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:

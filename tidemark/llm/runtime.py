@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.storage import drop, fresh, shared_folder, table
 
-__all__ = ["drop", "fresh", "read", "shared_folder", "table"]
+__all__ = ["drop", "fresh", "read", "row_key", "shared_folder", "table"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def row_key() -> Column:
+    """What a document is known by where ids may be null or repeated: a 64-bit hash of ``doc_id`` and ``text``."""
+    return F.xxhash64("doc_id", "text")
