@@ -177,6 +177,21 @@ def _accuracy(spark, query, label):
     return np.mean([r["predicted"] == r[label] for r in out]), out
 
 
+def test_misspelled_stems():
+    """A beginning of five letters or more bears one error, unless clean texts use that spelling."""
+    rng = np.random.default_rng(4)
+    ends = ["".join(rng.choice(list("aeioulmnrst"), 4)) for _ in range(400)]
+    plain = lambda: " ".join(f"q{rng.integers(3000)}z" for _ in range(40))
+    rows = [(f"{plain()} bomenta{ends[i % 400]}", 0) for i in range(300)]
+    rows += [(f"{plain()} bomente{ends[2 * i]} bomente{ends[2 * i + 1]}", 1) for i in range(60)]
+    model = toxicity.Model(rows)
+    assert model.stems == {"bomente": 1} and toxicity.errors_for("gross", True) == 1 and toxicity.errors_for("boco", True) == 0
+    lookup = model.scanner().lookup
+    assert lookup("bomenteunseen") == ("bomente", 0, True)
+    assert {lookup(w) for w in ("bomxnteunseen", "bomnteunseen", "bommenteunseen")} == {("bomente", 1, True)}
+    assert lookup("bomentaunseen") is None and lookup("bxmxnteunseen") is None
+
+
 def test_toxicity_held_out(spark):
     accuracy, out = _accuracy(spark, toxicity.op5_toxicity, "toxic")
     assert accuracy >= 0.93 and not any(r["predicted"] and not r["toxic"] for r in out)

@@ -40,9 +40,9 @@ CACHE = 1_000_000
 
 
 def errors_for(term: str, stem: bool) -> int:
-    """Errors a term may be misspelled with: longer terms bear more."""
+    """Errors a term or stem may be misspelled with: longer ones bear more, those under five letters none."""
     if stem:
-        return 1 if len(term) >= 8 else 0
+        return 0 if len(term) < 5 else 1
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
@@ -107,12 +107,17 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, int], dict[str
             stem = max(longer, key=lambda x: (len(x), x))
             if not whole and len(forms[stem]) >= 4:
                 stems[stem] = least[stem]
-        best = sorted((k for k in good if isinstance(k, str) and not any(k.startswith(s) for s in stems)), key=lambda k: (-good[k], k))
+        best = sorted((k for k in good if isinstance(k, str) and not any(k.startswith(s) and errors_for(s, True) for s in stems)), key=lambda k: (-good[k], k))
         terms = dict.fromkeys([*best[:TERMS], *(s for s in SEED if s not in total or toxic[s] >= PRECISION * total[s])], 0)
     kept = sorted(stems)[:TERMS]
     return {t: errors_for(t, False) for t in terms}, {x: errors_for(x, True) for x in kept}, {x: stems[x] for x in kept}
 
 
+def spelling(word: str, hit: tuple[str, int, bool]) -> str:
+    """What a misspelled hit is spelled as: the word, or its beginning where a stem is meant."""
+    return word[: len(hit[0])] if hit[2] else word
+
+
 class Scanner:
     """Finds hits of a lexicon in slices of text; remembers the words it has seen, up to a bound."""
 
@@ -124,7 +129,7 @@ class Scanner:
     def lookup(self, word: str) -> tuple[str, int, bool] | None:
         word = word.lower().strip(EDGE)
         hit = self.lexicon.match(word) if word else None
-        return None if hit and hit[1] and word in self.excluded else hit
+        return None if hit and hit[1] and spelling(word, hit) in self.excluded else hit
 
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, list[list[tuple[str, int, bool, float]]]]:
         """Words of each text, and its hits with the weight of their context."""
@@ -216,8 +221,9 @@ class Model:
         scanner = Scanner(self.terms, self.stems, self.least)
         counts, hits = scanner(pa.array([t for t, _ in rows], pa.string()))
         y = np.array([y for _, y in rows], float)
-        # Spellings near a term that clean documents use are words of their own.
-        spelled = Counter(w for (t, label), own in zip(rows, hits) if not label and any(h[1] for h in own) for w in {x.lower().strip(EDGE) for x in t.split()} if (m := scanner.lexicon.match(w)) and m[1])
+        # Spellings near a term, and beginnings near a stem, that clean documents use are words of their own.
+        clean = {w for (t, label), own in zip(rows, hits) if not label and any(h[1] for h in own) for w in (x.lower().strip(EDGE) for x in t.split())}
+        spelled = {spelling(w, m) for w in clean if (m := scanner.lexicon.match(w)) and m[1]}
         self.excluded = frozenset(spelled)
         if 0 < y.sum() < len(y):
             counts, hits = Scanner(self.terms, self.stems, self.least, self.excluded)(pa.array([t for t, _ in rows], pa.string()))
