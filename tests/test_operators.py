@@ -102,6 +102,20 @@ def test_glossary(spark):
     assert (std["term_en"], std["term_zh"], std["short_form"]) == ("e", "z", None)
 
 
+def test_large_dictionaries_scan_alike(spark, monkeypatch):
+    """One boundary and one rule for punctuation at every size of the dictionary, on mixed scripts."""
+    terms = ["steel", "iron ingot", "iron-ingot", "c++", "c", "水柱", "水", "++", "café", "éclair", "wc1", "柱 b", "a.b", "ingot of iron", "iron", "σοφος", "end$", "№", "don't"]
+    index = spark.createDataFrame([(t, "L1", "p", t) for t in terms], "term_key string, level string, path string, zh string")
+    texts = ["使用steel材料", "STEELworks, steel-works", "iron-ingot and Iron Ingot", "iron  ingot", "C++ is not c", "objc++", "高水柱低", "a水b", "x ++ y", "CAFÉ-Éclair", "xéclair", "WC12 wc1", "柱 B, 柱 bb", "axb a.b", "ingot of iron ingot", "ΣΟΦΟΣ", "end$1 end$", "№5 №", "don't don’t", "", None, "𝒳steel𝒳", "ſteel \u212a", "a\nsteel\n水"]
+    rows = spark.createDataFrame([(i if i % 3 else None, t) for i, t in enumerate(texts + texts[:4])], "id int, text string")
+    small = [tuple(r) for r in gl.scan(rows, index, ["id"]).select("id", "term_key", "zh").collect()]
+    monkeypatch.setattr(gl, "PATTERN_TERMS", 5)
+    large = [tuple(r) for r in gl.scan(rows, index, ["id"]).select("id", "term_key", "zh").collect()]
+    assert sorted(large, key=str) == sorted(small, key=str)
+    hits = {t for _, t, _ in small}
+    assert {"steel", "iron-ingot", "c++", "水柱", "++", "a.b"} <= hits and (None, "steel", "steel") in large
+
+
 def test_anchor_and_shared_cue(spark):
     c = cues(spark, (1, 0, 1000, "One two. Thr"), (2, 1000, 2000, "ee four."), (3, 9000, 9500, "One two."))
     s = spark.createDataFrame([(1, 1, "One two."), (1, 2, "Three four."), (1, 3, "Nowhere."), (1, 4, "...")], "doc_id long, seq long, sentence string")

@@ -17,7 +17,7 @@ EN_NAMES = ["en_us", "english", "full form (english)", "term_en"]
 ZH_NAMES = ["zh_cn", "chinese", "term_zh"]
 SHORT_NAMES = ["short_form", "short form"]
 LEVELS = ["L1", "L1.5", "L2"]
-#: Terms up to which one alternation pattern is compiled; a larger dictionary is scanned by n-gram joins.
+#: Terms up to which one alternation pattern is compiled; of a larger dictionary each text gets its own terms' pattern.
 PATTERN_TERMS = 5000
 
 
@@ -72,32 +72,59 @@ def scan(rows: DataFrame, index: DataFrame, key: list[str], text: str = "text")
     overlapping, one for each row and term.
 
     A dictionary up to ``PATTERN_TERMS`` terms is one alternation pattern over the text; a larger one is met by
-    the text's word n-grams in a join, so nothing of unbounded size goes to the driver.
+    the text's tokens in a join, so nothing of unbounded size goes to the driver.
     """
     few = index.select("term_key").limit(PATTERN_TERMS + 1).collect()
     if len(few) <= PATTERN_TERMS:
         terms = sorted((r[0] for r in few), key=lambda t: (-len(t), t))
         if not terms:
             return rows.select(*key).limit(0).join(index, F.lit(False))
-        pattern = r"(?iu)(?<![A-Za-z0-9])(?:" + "|".join(re.sub(r"([\\.\[\]{}()*+?^$|\-])", r"\\\1", t) for t in terms) + r")(?![A-Za-z0-9])"
-        hits = rows.select(*key, F.explode(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), F.lower))).alias("term_key"))
-        return hits.join(index, "term_key")
+        pattern = F.lit(OPEN + "|".join(re.sub(SPECIAL, r"\\\1", t) for t in terms) + CLOSE)
+        return _matches(rows.select(*key, F.col(text).alias("__text")), pattern, key).join(index, "term_key")
     return scan_grams(rows, index, key, text)
 
 
+#: The pattern of terms: bounded by ASCII letters and digits only, so that a term inside Chinese text is one.
+OPEN, CLOSE = r"((?iu)(?<![A-Za-z0-9])(?:", r")(?![A-Za-z0-9]))"
+SPECIAL = r"([\\.\[\]{}()*+?^$|\-])"
+
+
+def _matches(rows: DataFrame, pattern: Column, key: list[str]) -> DataFrame:
+    return rows.select(*key, F.explode(F.array_distinct(F.transform(F.regexp_extract_all("__text", pattern, 1), F.lower))).alias("term_key"))
+
+
+def _fold(c: Column) -> Column:
+    """Lower case in which characters that the pattern takes for one another are equal."""
+    return F.translate(F.lower(F.translate(c, "ſıİ\u212a", "siik")), "ς", "σ")
+
+
+def _tokens(c: Column, heads: bool) -> Column:
+    """Tokens of folded text by which its terms are found: runs of ASCII letters and digits, which a bounded term
+    holds whole; for terms without any, all pairs of other characters and single ones."""
+    runs = F.regexp_extract_all(c, F.lit("([a-z0-9]+)"), 1)
+    others = [F.regexp_extract_all(c, F.lit(p), 1) for p in (r"(?=([^a-z0-9]{2}))", r"([^a-z0-9])")]
+    return F.array_distinct(F.concat(runs, *others) if heads else runs)
+
+
 def scan_grams(rows: DataFrame, index: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """The same by n-grams of words: candidates join the index, then the leftmost longest ones stand. Terms and
-    texts are compared as runs of letters and digits."""
-    parts = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
-    known = index.withColumn("gram", F.array_join(F.regexp_extract_all("term_key", F.lit(r"[\p{L}\p{N}]+"), 0), " "))
-    longest = known.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 1
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size("w"), F.lit(longest))), lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice("w", i, n), " ").alias("gram")))))
-    candidates = rows.select(*key, parts.alias("w")).filter(F.size("w") > 0).select(*key, F.explode(grams).alias("x")).select(*key, "x.at", "x.n", "x.gram").join(known, "gram")
-    spans = candidates.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", (-F.col("n")).alias("m"), "term_key"))).alias("s"))
-    # Leftmost longest, not overlapping: a fold over one text's candidates.
-    empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("terms"))
-    chosen = F.aggregate("s", empty, lambda acc, x: F.when(x["at"] > acc["end"], F.struct((x["at"] - x["m"] - 1).alias("end"), F.concat(acc["terms"], F.array(x["term_key"])).alias("terms"))).otherwise(acc), lambda acc: F.array_distinct(acc["terms"]))
-    return spans.select(*key, F.explode(chosen).alias("term_key")).join(index, "term_key")
+    """The same by tokens: each text's candidates are the terms whose rarest token it has; those that it holds
+    literally are matched by the same pattern, made for that text."""
+    folded = _fold(F.col("term_key"))
+    runs = index.select("term_key", F.explode(_tokens(folded, False)).alias("__token"))
+    common = runs.groupBy("__token").agg(F.count(F.lit(1)).alias("n"))
+    known = runs.join(common, "__token").groupBy("term_key").agg(F.min_by("__token", F.struct("n", "__token")).alias("__token"))
+    bare = index.filter(~folded.rlike("[a-z0-9]") & (F.length("term_key") > 0)).select("term_key", F.substring(folded, 1, 2).alias("__token"))
+    heads = bare.limit(1).count() > 0
+    known = known.union(bare)
+    whole = rows.select(*key, F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"))
+    found = whole.select("__hash", F.explode(_tokens(_fold(F.col("__text")), heads)).alias("__token")).join(known, "__token")
+    # Equal texts share their candidates; too many candidates do no harm.
+    found = found.groupBy("__hash").agg(F.collect_set("term_key").alias("__terms"))
+    held = F.filter("__terms", lambda t: F.contains(F.col("__folded"), _fold(t)))
+    order = F.array_sort(F.transform(held, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
+    escaped = F.transform(order, lambda x: F.regexp_replace(x["t"], SPECIAL, r"\\$1"))
+    both = whole.join(found, "__hash").withColumn("__folded", _fold(F.col("__text"))).select(*key, "__text", escaped.alias("__terms")).filter(F.size("__terms") > 0)
+    return _matches(both, F.concat(F.lit(OPEN), F.array_join("__terms", "|"), F.lit(CLOSE)), key).join(index, "term_key")
 
 
 def longer_terms(terms: DataFrame) -> DataFrame:
