@@ -9,9 +9,13 @@ long as their running token count stays within what is left.
 The prefix needs no sort of a leaf: rows fall into buckets by the first hex digits of the order key, bucket sums
 give each bucket's start, and only the one bucket in which a leaf's budget ends needs running sums.
 
+A row is decided on by its leaf and id. Rows of one id in different leaves are decided on apart; those in one leaf
+tie, and are chosen only if all of them fit, so no budget is exceeded.
+
 Defined results: a null text has no tokens; null domain, language or source is the empty name; unknown names
-weigh 1; rows without tokens are chosen with the tokens around them; repeated rows tie and are chosen or left
-together; an empty table gives an empty result. Clashing column names are kept apart by reserved names.
+weigh 1; what weighs 0 gets nothing and supplies nothing, and a negative weight is an error; rows without tokens are
+chosen with the tokens around them; an empty table gives an empty result. Clashing column names are kept apart by
+reserved names.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def _weight(level: str, weights: dict) -> F.Column:
     known = weights.get(level) or {}
+    if any(int(v) < 0 for v in known.values()):
+        raise ValueError(f"negative weight of {level}")
     pairs = reduce(lambda w, kv: w.when(F.col(level) == kv[0], F.lit(int(kv[1]))), known.items(), F.when(F.lit(False), F.lit(1)))
     return pairs.otherwise(F.lit(1)).cast("long")
 
@@ -42,10 +48,10 @@ def fill(nodes: DataFrame, parent: list[str]) -> DataFrame:
     """Water-filling: adds ``given`` to rows of (parent keys, name, supply, weight, budget of the parent).
 
     In the order of supply per weight, a child is saturated if its supply is at most its share of what its
-    saturated predecessors leave; the others share that by weight, rounded down.
+    saturated predecessors leave; the others share that by weight, rounded down. A child without weight has no supply.
     """
     keys = parent or [F.lit(0)]
-    order = W.partitionBy(*keys).orderBy(F.col("supply") / F.col("weight"), "name")
+    order = W.partitionBy(*keys).orderBy(F.when(F.col("weight") > 0, F.col("supply").cast("decimal(20,0)") / F.col("weight").cast("decimal(10,0)")), "name")
     whole = W.partitionBy(*keys)
     nodes = nodes.withColumn("s_before", F.coalesce(F.sum("supply").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     nodes = nodes.withColumn("w_from", F.sum("weight").over(order.rowsBetween(W.currentRow, W.unboundedFollowing)))
@@ -58,11 +64,13 @@ def fill(nodes: DataFrame, parent: list[str]) -> DataFrame:
 
 def budgets(leaves: DataFrame, weights: dict, permille: int, epochs: int) -> DataFrame:
     """(domain, lang, source, tokens, given) of every leaf from its tokens."""
-    total = leaves.agg(((F.coalesce(F.sum("tokens"), F.lit(0)) * permille) / 1000).cast("long").alias("budget"))
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).select(F.expr(f"tokens * {int(permille)} div 1000").alias("budget"))
+    some = reduce(lambda a, b: a & b, [_weight(level, weights) > 0 for level in LEVELS])
+    supplies = leaves.withColumn("tokens", F.when(some, F.col("tokens")).otherwise(F.lit(0)).cast("long"))
     given = None
     for depth, level in enumerate(LEVELS):
         parent = LEVELS[:depth]
-        nodes = leaves.groupBy(*parent, level).agg((F.sum("tokens") * epochs).alias("supply"))
+        nodes = supplies.groupBy(*parent, level).agg((F.sum("tokens") * epochs).alias("supply"))
         nodes = nodes.withColumn("weight", _weight(level, weights)).withColumn("name", F.col(level))
         if given is None:
             nodes = nodes.join(F.broadcast(total))  # one row
@@ -72,13 +80,15 @@ def budgets(leaves: DataFrame, weights: dict, permille: int, epochs: int) -> Dat
     return given.join(leaves, LEVELS)
 
 
+def _leaf(domain: str) -> list[F.Column]:
+    """A row's names down the tree."""
+    return [F.coalesce(F.expr(domain), F.lit("")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")]
+
+
 def mix(docs: DataFrame, domain: str = DOMAIN, weights: dict = WEIGHTS, permille: int = PERMILLE, epochs: int = EPOCHS, seed: int = SEED, digits: int = DIGITS) -> DataFrame:
-    """Rows of ``docs`` chosen for the mixture, one for each epoch in which a row is taken, with the columns
-    __domain, __tokens, __epoch (0-based) added."""
-    leaf = {"__domain": F.coalesce(F.expr(domain), F.lit("")), "__lang": F.coalesce("lang", F.lit("")), "__source": F.coalesce("source", F.lit("")), "__tokens": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")}
-    key = [F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source")]
-    rows = docs.select(F.col("doc_id").alias("__id"), *[v.alias(k) for k, v in leaf.items()]).select("__id", *key, F.col("__tokens").alias("tokens"))
-    rows = table(rows, "mix-rows")
+    """Every row's id, leaf and tokens, the ``whole`` epochs that take it, and whether one ``more`` does."""
+    tokens = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = table(docs.select(F.col("doc_id").alias("__id"), *_leaf(domain), tokens.alias("tokens")), "mix-rows")
     leaves = table(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
     plan = budgets(leaves, weights, permille, epochs)
     plan = plan.select(*LEVELS, F.when(F.col("tokens") > 0, F.expr("given div tokens")).otherwise(F.lit(0)).alias("whole"), F.when(F.col("tokens") > 0, F.expr("given % tokens")).otherwise(F.lit(0)).alias("rest"), "given")
@@ -95,10 +105,8 @@ def mix(docs: DataFrame, domain: str = DOMAIN, weights: dict = WEIGHTS, permille
     running = F.sum("tokens").over(W.partitionBy(*LEVELS, "bucket").orderBy("__key")) + F.col("__before")
     cut = rows.filter(F.col("part") == "cut").withColumn("more", (running <= F.col("rest")) & (F.col("rest") > 0))
     sure = rows.filter(F.col("part") != "cut").withColumn("more", (F.col("part") == "in") & (F.col("rest") > 0))
-    taken = sure.unionByName(cut).select("__id", "domain", "tokens", F.col("whole").cast("int").alias("whole"), "more")
-    # Rows of one id stand for each other: one entry for each id, of its leaf and tokens.
     drop(leaves)
-    return taken
+    return sure.unionByName(cut).select("__id", *LEVELS, "tokens", F.col("whole").cast("int").alias("whole"), "more")
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -107,11 +115,13 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.filter(n > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), n - 1))).drop("whole", "more")
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
+def mix_documents(docs: DataFrame, domain: str = DOMAIN, **options) -> DataFrame:
     """The documents of the mixture with their own columns, repeated for each epoch that takes them."""
-    taken = mix(docs, **options).groupBy("__id").agg(F.max("whole").alias("whole"), F.max("more").alias("more"))
-    rows = docs.select(F.col("doc_id").alias("__doc"), F.struct(*docs.columns).alias("__row"))  # apart from any name
-    return _spread(rows.join(taken, rows["__doc"].eqNullSafe(taken["__id"]))).select("__row.*")
+    # Rows of one leaf and id are decided on together.
+    taken = mix(docs, domain, **options).groupBy("__id", *LEVELS).agg(F.max("whole").alias("whole"), F.max("more").alias("more"))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__doc"), *_leaf(domain))  # apart from any name
+    same = reduce(lambda a, b: a & b, [rows[x] == taken[x] for x in LEVELS], rows["__doc"].eqNullSafe(taken["__id"]))
+    return _spread(rows.join(taken, same).select("__row", "whole", "more")).select("__row.*")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
