@@ -95,6 +95,31 @@ def test_mixture_follows_weights(spark):
     assert len(got) == 3 and all(r["t"] / total == pytest.approx(mixing.WEIGHTS["domain"][r["domain"]] / 10, abs=0.12) for r in got)
 
 
+def test_mixture_of_repeated_ids(spark):
+    """An id in several leaves is decided on in each; no leaf takes more than its budget."""
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(0, 40)) or None, " ".join(["w"] * int(rng.integers(0, 30))), str(rng.choice(["en", "de"])), f"src{rng.integers(0, 12)}") for _ in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for permille in (100, 600, 1000):
+        mixed = [tuple(r) for r in mixing.mix_documents(docs, permille=permille).collect()]
+        taken = mixing._spread(mixing.mix(docs, permille=permille)).select("lang", "source", "__id", "tokens").collect()
+        count = lambda xs: Counter((x[2], x[3], x[0], len(x[1].split())) for x in xs)
+        assert count(mixed) == Counter((r["lang"], r["source"], r["__id"], r["tokens"]) for r in taken)
+        assert set(mixed) <= set(rows)
+        assert sum(len(x[1].split()) for x in mixed) <= sum(len(x[1].split()) for x in rows) * permille // 1000
+
+
+def test_weights_of_zero_and_ties(spark):
+    rows = [(i, "w " * 10, "en", s) for i, s in enumerate(["src0", "src1", "src4", "x"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    take = lambda w, p=500: Counter(r["source"] for r in mixing.mix_documents(docs, weights=w, permille=p).collect())
+    assert "x" not in take({"domain": {"code": 0}}) and take({"domain": {"web": 0, "books": 0, "code": 0}}) == {}
+    assert take({"source": {"src0": 0}}, 1000)["src0"] == 0
+    assert take({}) == {"src0": 1, "src1": 1, "src4": 3, "x": 3}  # 33 tokens for each domain, shared by its sources
+    with pytest.raises(ValueError):
+        mixing.mix_documents(docs, weights={"lang": {"en": -1}})
+
+
 # Substring dedup.
 
 
@@ -127,6 +152,55 @@ def test_substring_small_vocabulary(spark):
         assert got[i] == (len(w) - sum(keep), hashlib.sha256(kept.encode()).hexdigest())
 
 
+def test_factors_are_copies(spark):
+    """Each factor's words stand in its reference, earlier, and no factor could have gone on there."""
+    rng = np.random.default_rng(8)
+    base = [[f"w{rng.integers(500)}" for _ in range(200)] for _ in range(6)]
+    rows = [(i, w) for i, w in enumerate(base)]
+    for i in range(6, 40):
+        x, y = rng.integers(0, len(rows), 2)
+        a, b = rng.integers(0, 150, 2)
+        rows.append((i, rows[x][1][a : a + 60] + [f"own{i}"] * int(rng.integers(0, 2)) + rows[y][1][b : b + 70] + [f"n{i}x{j}" for j in range(30)]))
+    texts = dict(rows)
+    got = substring.remove_repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(7)).collect()
+    assert len(got) == len(rows) and sum(len(r["factors"]) for r in got) > 30
+    for r in got:
+        w, end = texts[r["doc_id"]], 0
+        assert r["n_removed"] == sum(f["words"] for f in r["factors"])
+        for f in r["factors"]:
+            ref = texts[f["ref"]]
+            assert f["start"] >= end and (f["ref"], f["ref_start"]) < (r["doc_id"], f["start"])
+            end = f["start"] + f["words"]
+            assert w[f["start"] : end] == ref[f["ref_start"] : f["ref_start"] + f["words"]]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60), st.integers(20, 32), st.integers(0, 2), st.integers(-2, 2)), max_size=25))
+def test_greedy_parse(copies):
+    """Against taking, word by word, the copy that an alignment carries furthest."""
+    copies = [(d, s, n, r, s + x + 10) for d, s, n, r, x in copies]
+    got = substring.factors(*(np.array([c[i] for c in copies], np.int64) for i in range(5)))
+    want = []
+    for d in range(3):
+        lanes: dict = {}
+        for _, s, n, r, t in (c for c in copies if c[0] == d):
+            lanes.setdefault((r, t - s), set()).update(range(s, s + n))
+        at = 0
+        while at < 100:
+            reach = {}
+            for lane, words in lanes.items():
+                end = at
+                while end in words:
+                    end += 1
+                reach[lane] = end
+            end = max(reach.values(), default=at)
+            if end > at:
+                want.append((d, at, end - at, {k for k, e in reach.items() if e == end}))
+            at = max(end, at + 1)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all((g[3], g[4] - g[1]) in w[3] for g, w in zip(got, want))
+
+
 # URL rules.
 
 

@@ -5,25 +5,31 @@ in a 20-word window the one with the least hash (the leftmost of equals) is the
 that share an anchor span its block of 20 to 32 words. Anchors depend on the window's words only, so equal
 windows have equal anchors and meet in the index under the anchor's hash.
 
-1. Parse: a block that equals an earlier block of the index is copied from it: a factor of the parse. Adjacent
-   factors join, so a repeated passage becomes one long factor however many blocks it spans.
+1. Parse: a block that equals an earlier block of the index is a copy of the earliest one: (place, reference
+   document, place there, length).
 2. Boundaries: where blocks of one anchor differ, a factor ends or begins inside the block. There, and only
    there, the block's windows are looked up one by one against those of the other differing blocks.
-3. Factors of at least 20 words are the duplicate spans; each document drops the words they cover.
+3. Copies of one alignment (same reference, same shift) that touch are extended to one factor, and the document is
+   parsed greedily from the left: of the factors that cover a place the one that reaches furthest is taken. Every
+   factor comes from copies of at least 20 words; each document drops the words that its factors cover.
 
-The index is dealt by anchor hash and streamed in order: no group is collected. Each slice of documents sends
-one row for equal blocks, the earliest, as later ones are known to repeat it; so a passage that a third of all
-documents hold sends a row for each slice, not for each document.
+The index is dealt by ranges of (anchor hash, block hash) and streamed in order: no group is collected, and the blocks
+of one common anchor fall into many ranges; blocks at a range's ends count as boundaries, which costs a lookup and loses
+nothing. Each slice of documents sends one row for equal blocks, the earliest, as later ones are known to repeat it; so a
+passage that a third of all documents hold sends a row for each slice, not for each document. Places count as equal when
+two 64-bit hashes of their words agree; words themselves are hashed to 64 bits.
 
 Defined results: null and empty texts have no words and lose none; texts under 20 words lose none; repeated
-rows (same id and text) count as one document and get equal results; a null id counts as smaller than any other;
-an empty table gives an empty result; further columns are ignored.
+rows (same id and text) count as one document and get equal results; different texts of one id are documents of their
+own, in the order of a hash of the text; a null id counts as smaller than any other; an empty table gives an empty
+result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
@@ -35,8 +41,7 @@ from tidemark.llm.runtime import drop, table
 from tidemark.llm.wordscan import U64, mix, scan, slices, windows
 
 WINDOW, GRAM = 20, 8
-_BASE = U64(0xD6E8FEB86659FD93)
-_INVERSE = U64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+_BASES = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: A span is packed as start * 64 + words; a block has at most 32 words.
 PACK = 64
 NO_ID = -(1 << 63)
@@ -51,11 +56,11 @@ def _powers(base: U64, n: int) -> np.ndarray:
 class Ranges:
     """Hashes of any ranges of words of one slice."""
 
-    def __init__(self, hashes: np.ndarray) -> None:
+    def __init__(self, hashes: np.ndarray, base: int = _BASES[0]) -> None:
         n = len(hashes)
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum(hashes * _powers(_BASE, n), out=self.sums[1:])
-        self.back = _powers(_INVERSE, n + 1)
+        np.cumsum(hashes * _powers(U64(base), n), out=self.sums[1:])
+        self.back = _powers(U64(pow(base, -1, 1 << 64)), n + 1)
 
     def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((self.sums[b] - self.sums[a]) * self.back[a] + (b - a).astype(U64) * U64(0x9E3779B97F4A7C15))
@@ -88,29 +93,40 @@ def _blocks(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return anchor[first], start[first], start[last]
 
 
-def _rows(key: np.ndarray, block: np.ndarray, doc: np.ndarray, span: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One candidate row (kind 0) for equal blocks of a slice, the earliest; the others are spans (kind 1)."""
-    order = np.lexsort((span, doc, block, key))
-    key, block, doc, span = key[order], block[order], doc[order], span[order]
+def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == U64 else x) for x in columns], names=names.split())
+
+
+def _rows(part: pa.RecordBatch, own: np.ndarray, key: np.ndarray, block: np.ndarray, span: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One candidate row (kind 0) for equal blocks of a slice, the earliest; the others copy it (kind 1)."""
+    doc, dig = np.asarray(part.column("doc")), np.asarray(part.column("dig"))
+    turn = np.lexsort((dig, doc))
+    new = np.ones(len(turn), bool)
+    new[1:] = (np.diff(doc[turn]) != 0) | (np.diff(dig[turn]) != 0)
+    rank = np.empty(len(turn), np.int64)
+    rank[turn] = np.cumsum(new)  # equal for repeated rows
+    order = np.lexsort((span, rank[own], block, key))
+    key, block, own, span = key[order], block[order], own[order], span[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
     head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else new.astype(int)
-    later = (doc != doc[head]) | (span // PACK != span[head] // PACK)
+    start = span // PACK
+    later = (rank[own] != rank[own[head]]) | (start != start[head])
     for kind, rows in ((0, new), (1, later)):
         rows = np.flatnonzero(rows)
         if len(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), kind, np.int32)), *(pa.array(x[rows].astype(np.int64, copy=False).view(np.int64)) for x in (key.view(np.int64), block.view(np.int64), doc, span))], names=["kind", "key", "block", "doc", "span"])
-
+            none = np.zeros(len(rows), np.int64)
+            hashed = (key[rows], block[rows]) if kind == 0 else (none, none)
+            ref = (none, none) if kind == 0 else (doc[own[head[rows]]], start[head[rows]])
+            yield _batch("kind key block doc dig span ref_doc ref_start", np.full(len(rows), kind, np.int32), *hashed, doc[own[rows]], dig[own[rows]], span[rows], *ref)
 
-ROWS = "kind int, key long, block long, doc long, span long"
 
-
-def _ids(part: pa.RecordBatch) -> np.ndarray:
-    return np.asarray(part.column("doc"))
+ROWS = "kind int, key long, block long, doc long, dig long, span long, ref_doc long, ref_start long"
+COPIES = "kind int, doc long, dig long, span long, ref_doc long, ref_start long"
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of every document: (kind, anchor hash, block hash, doc, span)."""
+    """Blocks of every document."""
     for batch in batches:
         for part in slices(batch):
             words = scan(part.column("text"))
@@ -120,11 +136,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 grams = windows(hashes, GRAM)
                 block = mix(Ranges(hashes)(lo, hi + WINDOW) + (anchor - lo).astype(U64))
                 own = doc[lo]
-                yield from _rows(grams[anchor], block, _ids(part)[own], (lo - words.first[own]) * PACK + hi - lo + WINDOW)
+                yield from _rows(part, own, grams[anchor], block, (lo - words.first[own]) * PACK + hi - lo + WINDOW)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The single windows of given blocks: (kind, window hash, 0, doc, span)."""
+    """The single windows of given blocks, keyed by two hashes."""
     for batch in batches:
         for part in slices(batch):
             words = scan(part.column("text"))
@@ -135,25 +151,26 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, extra = packed // PACK, packed % PACK - WINDOW + 1
             step = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra)
             own, start = np.repeat(own, extra), np.repeat(start, extra) + step
-            fits = start + WINDOW <= words.count[own]
-            own, start = own[fits], start[fits]
             if len(own):
-                at = words.first[own] + start
-                key = Ranges(words.hashes())(at, at + WINDOW)
-                yield from _rows(key, np.zeros(len(key), U64), _ids(part)[own], start * PACK + WINDOW)
+                at, hashes = words.first[own] + start, words.hashes()
+                yield from _rows(part, own, *(Ranges(hashes, base)(at, at + WINDOW) for base in _BASES), start * PACK + WINDOW)
 
 
 def _parse(edges: bool) -> Callable:
-    """Walk rows in the order (key, block, doc, span). A row after the first of its block repeats it (kind 1); with
-    ``edges``, the first rows of blocks whose key has other blocks too are boundaries (kind 2)."""
+    """Walk rows in the order (key, block, doc, dig, span). A row after the first of its block copies that (kind 1);
+    with ``edges``, the first rows of blocks whose key has other blocks too, or may have them in another partition, are
+    boundaries (kind 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int, int, int] | None = None  # key and block walked last, doc and start of its first row
-        held: tuple[int, int] | None = None  # the first row of a key, while the key has one block
+        last: tuple[int, ...] | None = None  # key and block walked last; doc, dig and start of its first row
+        held: tuple[int, ...] | None = None  # doc, dig and span of the first row of a key, while the key has one block
+        border = None  # the partition's first key
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, block, doc, span = (np.asarray(batch.column(i)) for i in range(4))
+            key, block, doc, dig, span = (np.asarray(batch.column(i)) for i in range(5))
+            border = int(key[0]) if border is None else border
+            start = span // PACK
             new_key, new = np.ones(len(key), bool), np.ones(len(key), bool)
             new_key[1:] = key[1:] != key[:-1]
             new[1:] = new_key[1:] | (block[1:] != block[:-1])
@@ -161,94 +178,135 @@ def _parse(edges: bool) -> Callable:
             goes_on = same_key and last[1] == block[0]
             new_key[0], new[0] = not same_key, not goes_on
             firsts = np.flatnonzero(new)
-            head = np.cumsum(new) - 1
-            head_doc = np.concatenate([[last[2] if last else 0], doc[firsts]])[head + 1]
-            head_start = np.concatenate([[last[3] if last else 0], span[firsts] // PACK])[head + 1]
-            repeats = ~new & ((doc != head_doc) | (span // PACK != head_start))
-            out = [(1, np.flatnonzero(repeats))]
+            head = np.cumsum(new)
+            head_doc, head_dig, head_start = (np.concatenate([[last[i + 2] if last else 0], x[firsts]])[head] for i, x in enumerate((doc, dig, start)))
+            copies = np.flatnonzero(~new & ((doc != head_doc) | (dig != head_dig) | (start != head_start)))
+            if len(copies):
+                yield _found(1, doc[copies], dig[copies], span[copies], head_doc[copies], head_start[copies])
             if edges:
                 # Of the first rows: those that open a key wait for another block of it.
                 opens = new_key[firsts]
-                several = ~opens
+                several = ~opens | (key[firsts] == border)
                 several[:-1] |= ~opens[1:]
-                if held is not None and len(firsts) and not opens[0]:
-                    yield _found(2, np.array([held[0]]), np.array([held[1]]))
+                if held is not None and len(firsts):
+                    if not opens[0]:
+                        yield _found(2, *(np.array([x]) for x in held))
                     held = None
                 if len(firsts):
                     end = firsts[-1]
-                    held = (int(doc[end]), int(span[end])) if opens[-1] else None
-                out.append((2, firsts[several]))
-            for kind, rows in out:
-                if len(rows):
-                    yield _found(kind, doc[rows], span[rows])
-            last = (int(key[-1]), int(block[-1]), int(head_doc[-1]), int(head_start[-1]))
+                    held = None if several[-1] else (int(doc[end]), int(dig[end]), int(span[end]))
+                if several.any():
+                    rows = firsts[several]
+                    yield _found(2, doc[rows], dig[rows], span[rows])
+            last = (int(key[-1]), int(block[-1]), int(head_doc[-1]), int(head_dig[-1]), int(head_start[-1]))
+        if held is not None:
+            yield _found(2, *(np.array([x]) for x in held))
 
     return run
 
 
-def _found(kind: int, doc: np.ndarray, span: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), kind, np.int32)), pa.array(doc), pa.array(span)], names=["kind", "doc", "span"])
+def _found(kind: int, doc: np.ndarray, dig: np.ndarray, span: np.ndarray, *ref: np.ndarray) -> pa.RecordBatch:
+    none = np.zeros(len(doc), np.int64)
+    return _batch("kind doc dig span ref_doc ref_start", np.full(len(doc), kind, np.int32), doc, dig, span, *(ref or (none, none)))
 
 
 def _walk(rows: DataFrame, edges: bool, name: str) -> DataFrame:
-    dealt = rows.filter("kind = 0").select("key", "block", "doc", "span")
+    dealt = rows.filter("kind = 0").select("key", "block", "doc", "dig", "span")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "key").sortWithinPartitions("key", "block", "doc", "span")
-    return table(dealt.mapInArrow(_parse(edges), "kind int, doc long, span long"), name)
+    dealt = dealt.repartitionByRange(parts, "key", "block").sortWithinPartitions("key", "block", "doc", "dig", "span")
+    return table(dealt.mapInArrow(_parse(edges), COPIES), name)
+
+
+def factors(own: np.ndarray, start: np.ndarray, size: np.ndarray, ref: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The greedy parse of documents ``own`` from their copies of ``size`` words at ``start``, found in document ``ref``
+    at ``at``: (own, start, words, ref, place there), in order, not overlapping."""
+    shift = at - start
+    order = np.lexsort((start, shift, ref, own))
+    own, start, size, ref, shift = own[order], start[order], size[order], ref[order], shift[order]
+    lane = np.cumsum(np.concatenate([[0], (np.diff(own) != 0) | (np.diff(ref) != 0) | (np.diff(shift) != 0)]).astype(np.int64)) if len(own) else own
+    # How far an alignment has come: lanes follow each other, each above all places of the one before.
+    wide = int((start + size).max()) + 1 if len(own) else 1
+    reach = np.maximum.accumulate(lane * wide + start + size) if len(own) else lane
+    new = np.ones(len(own), bool)
+    new[1:] = (lane[1:] != lane[:-1]) | (lane[1:] * wide + start[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(own)]]) - 1 if len(first) else first
+    ends = reach[last] - lane[last] * wide
+    runs = sorted(zip(own[first].tolist(), start[first].tolist(), ends.tolist(), ref[first].tolist(), shift[first].tolist()))
+    out: list[tuple[int, int, int, int, int]] = []
+    i, doc, upto = 0, -1, 0
+    while i < len(runs):
+        if runs[i][0] != doc:
+            doc, upto = runs[i][0], 0
+        best, here = None, max(upto, runs[i][1])
+        while i < len(runs) and runs[i][0] == doc and runs[i][1] <= here:
+            if runs[i][2] > here and (best is None or runs[i][2] > best[2]):
+                best = runs[i]
+            i += 1
+        if best is not None:
+            out.append((doc, here, best[2] - here, best[3], here + best[4]))
+            upto = best[2]
+    return out
+
+
+def _cut(kept_text: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                copies = part.column("copies")
+                counts = np.diff(np.asarray(copies.offsets))
+                flat = copies.flatten()
+                span, ref, at = (np.asarray(flat.field(name)) for name in ("span", "ref_doc", "ref_start"))
+                found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(part.num_rows)]
+                for own, *factor in factors(np.repeat(np.arange(part.num_rows), counts), span // PACK, span % PACK, ref, at):
+                    found[own].append(tuple(factor))
+                n_words, n_removed, digests, texts = [], [], [], []
+                for raw, own in zip(part.column("text").cast(pa.binary()), found):
+                    words = (raw.as_py() or b"").split()
+                    kept = words
+                    if own:
+                        keep = np.ones(len(words), bool)
+                        for a, n, *_ in own:
+                            keep[a : a + n] = False
+                        kept = list(compress(words, keep.tolist()))
+                    joined = b" ".join(kept)
+                    n_words.append(len(words))
+                    n_removed.append(len(words) - len(kept))
+                    digests.append(hashlib.sha256(joined).hexdigest())
+                    if kept_text:
+                        texts.append(joined)
+                rows = [[{"start": a, "words": n, "ref": None if r == NO_ID else r, "ref_start": x} for a, n, r, x in own] for own in found]
+                columns = [part.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(rows, _FACTORS)]
+                names = ["id", "n_words", "n_removed", "kept_sha256", "factors"]
+                if kept_text:
+                    columns, names = [*columns, pa.array(texts, pa.binary()).cast(pa.string())], [*names, "kept_text"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    return run
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, n_words, n_removed, digests, spans_out, kept_texts = [], [], [], [], [], []
-        texts = batch.column("text").cast(pa.binary())
-        for doc, raw, spans in zip(batch.column("id"), texts, batch.column("spans")):
-            words = (raw.as_py() or b"").split()
-            merged: list[list[int]] = []
-            for packed in sorted(spans.as_py() or ()):
-                a, b = packed // PACK, min(packed // PACK + packed % PACK, len(words))
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                elif a < b:
-                    merged.append([a, b])
-            kept = words
-            if merged:
-                keep = np.ones(len(words), bool)
-                for a, b in merged:
-                    keep[a:b] = False
-                kept = list(compress(words, keep.tolist()))
-            joined = b" ".join(kept)
-            ids.append(doc.as_py())
-            n_words.append(len(words))
-            n_removed.append(len(words) - len(kept))
-            digests.append(hashlib.sha256(joined).hexdigest())
-            spans_out.append(merged)
-            kept_texts.append(joined)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans_out, pa.list_(pa.list_(pa.int64()))), pa.array(kept_texts, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
-
-
-def _no_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _cut(batches):
-        yield batch.drop_columns(["kept_text"])
+
+_FACTORS = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "words", "ref", "ref_start")]))
+CUT = "id long, n_words long, n_removed long, kept_sha256 string, factors array<struct<start:long,words:long,ref:long,ref_start:long>>"
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept_text: bool = True) -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256, spans of removed words[, kept_text]) of every row."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
-    keyed = texts.select("doc", "text")
+    """(id, n_words, n_removed, kept_sha256, factors[, kept_text]) of every row. A factor: its first word, words, the
+    reference document's id and the first word there."""
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), doc.alias("doc"), F.xxhash64(text_col).alias("dig"), F.col(text_col).alias("text"))
+    keyed = texts.select("doc", "dig", "text")
     blocks = table(keyed.mapInArrow(_index, ROWS), "rlz-blocks")
     parsed = _walk(blocks, True, "rlz-parsed")
-    edges = parsed.filter("kind = 2").groupBy("doc").agg(F.collect_list("span").alias("spans"))
-    # An id may stand on repeated rows: their windows are equal and meet again below.
-    single = table(keyed.join(edges, "doc").select("doc", "text", "spans").mapInArrow(_windows, ROWS), "rlz-windows")
+    edges = parsed.filter("kind = 2").groupBy("doc", "dig").agg(F.collect_list("span").alias("spans"))
+    # Repeated rows: their windows are equal and meet again below.
+    single = table(keyed.join(edges, ["doc", "dig"]).select("doc", "dig", "text", "spans").mapInArrow(_windows, ROWS), "rlz-windows")
     matched = _walk(single, False, "rlz-matched")
-    spans = [x.filter("kind = 1").select("doc", "span") for x in (blocks, parsed, single, matched)]
-    spans = spans[0].union(spans[1]).union(spans[2]).union(spans[3]).groupBy("doc").agg(F.collect_list("span").alias("spans"))
-    spans = table(spans, "rlz-spans")
+    copies = reduce(DataFrame.union, [x.filter("kind = 1").select("doc", "dig", "span", "ref_doc", "ref_start") for x in (blocks, parsed, single, matched)])
+    copies = table(copies.groupBy("doc", "dig").agg(F.collect_list(F.struct("span", "ref_doc", "ref_start")).alias("copies")), "rlz-copies")
     drop(blocks, parsed, single, matched)
-    cut = texts.join(spans, "doc", "left").select("id", "text", "spans")
-    schema = "id long, n_words long, n_removed long, kept_sha256 string, spans array<array<long>>"
-    out = cut.mapInArrow(_cut, schema + ", kept_text string") if kept_text else cut.mapInArrow(_no_text, schema)
-    return out.withColumnRenamed("id", id_col)
+    none = F.array().cast("array<struct<span:long,ref_doc:long,ref_start:long>>")
+    cut = texts.join(copies, ["doc", "dig"], "left").select("id", "text", F.coalesce("copies", none).alias("copies"))
+    return cut.mapInArrow(_cut(kept_text), CUT + (", kept_text string" if kept_text else "")).withColumnRenamed("id", id_col)
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
