@@ -162,3 +162,16 @@ def test_rows_of_null_and_repeated_ids(spark):
         last[(i, t)] = gone
         want[(i, len(w), len(gone))] += 1
     assert cut == want
+
+
+def test_lines_are_counted_by_documents(spark):
+    """Copies count one by one, but lines that only few texts hold stay."""
+    own = lambda i: "\n".join(f"own line {chr(97 + i % 26)} {'abcdefghij'[i // 26]} {w}" for w in "of this text alone stands here now".split())
+    often = "subscribe to our letter and share this page with all of your good friends and family today please"
+    copied = "\n".join(["a text that is copied as it is", "many times over in this host", "and that no other text repeats"])
+    rows = [(i, own(i), "h") for i in range(12)] + [(100 + i, f"{often}\n{own(i % 12)[:15]}", "h") for i in range(60)]
+    rows += [(200 + i, copied, "h") for i in range(80)] + [(300 + i, often, "other") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert all(got[i]["kept"] and not got[i]["n_removed"] for i in [*range(12), *range(200, 280), *range(300, 360)])
+    assert all(got[100 + i]["n_removed"] == 18 and not got[100 + i]["kept"] for i in range(60))

@@ -1,12 +1,15 @@
 """Quality rules: base rules of a text, and cross-document line frequency.
 
 Lines are normalised (A-Z lower-cased, digits to 0, white space runs to one space, trimmed) and hashed. A
-line's frequency is the number of distinct texts of one host that hold it, so exact copies count once. Lines above
-the host's limit (``LIMIT`` texts, or ``SHARE`` of the host's texts if that is more) are removed; a document that
-keeps less than ``LEFT`` percent of its words is depleted and rejected. Here a host is the document's source.
-
-Defined results: a null text is empty and fails the base rules; a null host is the empty host; repeated rows get
-equal results; a null id stays null; an empty table gives an empty result; further columns are ignored.
+line's frequency is the number of distinct documents of one host that hold it. Lines above the host's limit (``LIMIT``
+documents, or ``SHARE`` of the host's documents if that is more) are removed, unless they stand in fewer than ``TEXTS``
+different texts: what only copies of a few texts share is a matter of dedup, and removing it would take all copies away.
+A document that keeps less than ``LEFT`` percent of its words is depleted and rejected. Here a host is the document's
+source.
+
+Defined results: a null text is empty and fails the base rules; a null host is the empty host; repeated rows (same id
+and text) count as one document and get equal results; different texts of one id, and of none, are documents of their
+own; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.runtime import table
 from tidemark.llm.wordscan import U64, Words, mix, scan, slices, windows
 
-LIMIT, SHARE, LEFT = 50, 0.005, 25
+LIMIT, SHARE, TEXTS, LEFT = 50, 0.005, 10, 25
 SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -93,14 +96,15 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: int = LIMIT, share: float = SHARE, left: int = LEFT) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: int = LIMIT, share: float = SHARE, texts: int = TEXTS, left: int = LEFT) -> DataFrame:
     """Every row's measures, base verdict, removed words and verdict."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(host_col, F.lit("")).alias("host"), F.col(text_col).alias("text"))
     measured = table(rows.mapInArrow(_measure, MEASURED), "rules-measured")
-    lines = measured.select("id", "host", "digest", F.explode("lines").alias("x")).select("id", "host", "digest", "x.line", "x.words")
-    texts = measured.groupBy("host").agg(F.count_distinct("digest").alias("texts"))
-    often = lines.groupBy("host", "line").agg(F.count_distinct("digest").alias("n")).filter(F.col("n") > limit)
-    often = often.join(texts, "host").filter(F.col("n") > F.greatest(F.lit(float(limit)), F.col("texts") * share)).select("host", "line")
+    document = F.xxhash64("id", "digest").alias("document")
+    lines = measured.select(document, "host", "digest", F.explode("lines").alias("x")).select("document", "host", "digest", "x.line", "x.words")
+    known = measured.select("host", document).groupBy("host").agg(F.count_distinct("document").alias("documents"))
+    often = lines.groupBy("host", "line").agg(F.count_distinct("document").alias("n"), F.count_distinct("digest").alias("texts")).filter((F.col("n") > limit) & (F.col("texts") >= texts))
+    often = often.join(known, "host").filter(F.col("n") > F.greatest(F.lit(float(limit)), F.col("documents") * share)).select("host", "line")
     # Rows of one text and host have the same lines, so one sum for each text and host stands for all of them.
     removed = lines.select("host", "digest", "line", "words").distinct().join(often, ["host", "line"]).groupBy("host", "digest").agg(F.sum("words").alias("removed"))
     out = measured.drop("lines").join(removed, ["host", "digest"], "left").withColumn("n_removed", F.coalesce("removed", F.lit(0)).cast("long"))
@@ -126,8 +130,9 @@ ORACLE = rf"""with d as (select doc_id, coalesce(source, '') host, coalesce(text
     l as (select host, md5(t) h, x, sum(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) n from (select distinct on (host, t) host, t,
         unnest(ls) y from w), lateral (select trim(regexp_replace(regexp_replace(translate(y, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g')) x) where x <> '' group by all),
-    o as (select host, x from (select host, x, count(distinct h) n from l group by all) join (select host, count(distinct t) texts from d group by 1) using (host)
-        where n > greatest({float(LIMIT)}, texts * {SHARE})),
+    c as (select host, md5(t) h, count(distinct coalesce(cast(doc_id as varchar), '')) copies from d group by all),
+    o as (select host, x from (select host, x, sum(copies) n, count(*) texts from l join c using (host, h) group by all) join (select host, sum(copies) documents from c group by 1) using (host)
+        where n > greatest({float(LIMIT)}, documents * {SHARE}) and texts >= {TEXTS}),
     m as (select host, h, cast(sum(n) as bigint) removed from l join o using (host, x) group by all)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) n_repeat_words, n_words < 10 or 100 * coalesce(n_repeat_words, 0) > 20 * n_words base_failed,
         coalesce(removed, 0) n_removed, not (n_words < 10 or 100 * coalesce(n_repeat_words, 0) > 20 * n_words) and not (coalesce(removed, 0) > 0 and 100 * (n_words - coalesce(removed, 0)) < {LEFT} * n_words) kept
