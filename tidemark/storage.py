@@ -12,9 +12,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where it is
-    unset, as in tests on one machine."""
+    unset and all run on one machine, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -43,7 +45,11 @@ def table(df: DataFrame, name: str) -> DataFrame:
 def drop(*tables: DataFrame) -> None:
     """Delete tables made by ``table`` that nothing reads any more."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df._tidemark_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
