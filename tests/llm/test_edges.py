@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns for every operator."""
 
+import gzip
 from collections import Counter
 
 import pytest
@@ -65,6 +66,44 @@ def test_warc(spark):
     assert warc.assemble(warc.read_warc(spark, empty)).count() == 0
 
 
+def test_equal_pages_are_captures_of_their_own(spark, tmp_path):
+    big, other = "z" * 1500, "q" * 1200
+    rows = [(1, big)] * 2 + [(2, big)] * 3 + [(3, "s"), (3, "s"), (4, other), (5, other), (None, other), (None, other), (None, "k" * 1000), (None, "k" * 1000), (6, None)]
+    spark.createDataFrame([(i, f"http://h/{i}", t) for i, t in rows], "page_id long, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.op3_warc(spark, str(tmp_path)).collect())
+    want = {(1, 1500, "revisit", 2): 2, (2, 1500, "response", None): 3, (3, 1, "response", None): 2, (4, 1200, "revisit", 5): 1, (5, 1200, "response", None): 1, (None, 1200, "revisit", 5): 2, (None, 1000, "response", None): 2, (6, 0, "response", None): 1}
+    assert got == want
+
+
+def _record(kind, own, body, *concurrent, length=None):
+    head = [f"WARC/1.1\r\nWARC-Type: {kind}", f"WARC-Record-ID: {own}", *(f"WARC-Concurrent-To: {c}" for c in concurrent), f"Content-Length: {len(body) if length is None else length}"]
+    return ("\r\n".join(head) + "\r\n\r\n" + body + "\r\n\r\n").encode()
+
+
+def test_broken_archives(spark, tmp_path):
+    records = [_record("response", f"<{i}>", f"body {i} " * 300) for i in range(6)]
+    bad = _record("response", "<bad>", "x", length="12x")
+    members = [gzip.compress(r) for r in records]
+    spoiled = bytearray(members[2])
+    spoiled[40:60] = bytes(20)
+    (tmp_path / "plain.warc").write_bytes(bad + records[0] + bad + records[1])
+    (tmp_path / "cut.warc.gz").write_bytes(b"".join(members[:3]) + members[3][:-30])
+    (tmp_path / "spoiled.warc.gz").write_bytes(members[0] + members[1] + bytes(spoiled) + members[4] + b"\0\0" + members[5])
+    got = warc.read_warc(spark, str(tmp_path)).select("record_id", "content").collect()
+    whole = Counter(r["record_id"] for r in got if r["content"] == f"body {r['record_id'][1]} " * 300)
+    assert whole["<0>"] == 3 and whole["<1>"] == 3 and whole["<2>"] == 1 and whole["<4>"] == whole["<5>"] == 1 and "<bad>" not in whole
+    assert list(warc.parse_records(b"junk WARC/1.0 \r\n\r\n")) == [] and list(warc.parse_records(b"")) == []
+
+
+def test_chained_and_several_identifiers(spark, tmp_path):
+    records = [_record("request", "<q>", "ask"), _record("response", "<r>", "page", "<q>"), _record("metadata", "<m>", "note", "<r>", "<q>")]
+    records += [_record("response", "<r2>", "page"), _record("metadata", "<m2>", "note", "<r2>"), _record("metadata", "<lost>", "note", "<gone>"), _record("metadata", "<self>", "note", "<self>")]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    got = {r["capture_id"]: r for r in warc.assemble(warc.read_warc(spark, str(tmp_path))).collect()}
+    assert set(got) == {"<r>", "<r2>", "<gone>", "<self>"} and got["<r>"]["records"] == 3
+    assert got["<r>"]["request"]["record_id"] == "<q>" and got["<r>"]["metadata"]["record_id"] == "<m>" and got["<gone>"]["response"] is None
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "HTTP://WWW.Example.COM/en/?q=1#f"), (4, "http://Example.com/en/x"), (5, "http://example.com"), (5, "http://example.com"), (None, "http://x.net/es/"), (6, "a://b://c/d?e"), (7, "http://x.org/" + "a/" * 3000), (8, "")]
     pages = spark.createDataFrame(rows, "page_id long, url string").select("*", F.lit("c").alias("host"), F.lit("c").alias("path"), F.lit("c").alias("items"), F.lit("c").alias("rule"))

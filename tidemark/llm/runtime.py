@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.storage import drop, fresh, shared_folder, table
+from tidemark.storage import drop, fresh, remove, shared_folder, table
 
-__all__ = ["drop", "fresh", "read", "row_key", "shared_folder", "table"]
+__all__ = ["drop", "fresh", "read", "remove", "row_key", "shared_folder", "table"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

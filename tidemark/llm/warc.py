@@ -6,18 +6,20 @@ WARC-Concurrent-To. Reading parses the archives record by record, by Content-Len
 one transaction through those identifiers into one nested row.
 
 Archives are written by Spark itself, as gzip text whose line separator is the record's end (two CRLF), so any
-file system that Spark writes to will do; they are read back as binary files of a bounded size.
-
-Defined results: a null html is an empty payload; a null url gives records without a target; repeated page ids
-give one transaction each, as record ids come from the page id and the payload, and equal rows share one; empty
-tables give no archives and an empty result; further columns are ignored. Payloads may hold any text, also what
-looks like a record.
+file system that Spark writes to will do. Captures are written by classes of payload size, fewer to an archive the
+larger they are (``CLASSES``), so archives stay of a bounded size and can be read back as binary files.
+
+Defined results: a null html is an empty payload; a null url gives records without a target; every row, equal rows
+too, gives a transaction of its own; a null page_id counts as smaller than any other, and equal payloads without any id
+are all responses; empty tables give no archives and an empty result; further columns are ignored. Payloads may hold any
+text, also what looks like a record. On reading, a record without a whole Content-Length is passed over, a record without
+an id gets one from its bytes, and of a cut or corrupt archive all that can be read is.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import fresh, table
+from tidemark.llm.components import components
+from tidemark.llm.runtime import drop, fresh, remove, table
 
-#: Payload bytes from which equal payloads become revisits; captures in one archive.
-REVISIT_FROM, PER_ARCHIVE = 1000, 2000
+#: Payload bytes from which equal payloads become revisits.
+REVISIT_FROM = 1000
+#: Payload bytes from which a class begins, and captures in one of its archives: 128 MiB of payloads, or one payload.
+CLASSES = [(0, 2048), (1 << 16, 128), (1 << 20, 8), (1 << 24, 1)]
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,79 +60,116 @@ def write_warc(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM) ->
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace("url", r"[\r\n]", " ").alias("url"), html.alias("html"), F.sha1(html).alias("digest"), F.octet_length(html).alias("bytes"))
     # Digests alone are grouped and joined; of the html, only what belongs to repeated payloads' rows needs a lookup.
-    digests = table(rows.filter(F.col("bytes") >= revisit_from).select("page_id", "digest"), "warc-digests")
-    heads = digests.groupBy("digest").agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    revisits = digests.join(heads, "digest").filter("page_id < head or page_id is null").select("page_id", "digest", "head").distinct()
-    known = rows.join(revisits, rows["page_id"].eqNullSafe(revisits["page_id"]) & (rows["digest"] == revisits["digest"]), "left").select(rows["*"], "head")
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    head = F.coalesce(F.col("head").cast("string"), F.lit(""))
-    own = _urn(F.lit("response"), page, F.col("digest"))
+    digests = table(rows.filter(F.col("bytes") >= revisit_from).select("page_id", "digest", "bytes"), "warc-digests")
+    most = digests.agg(F.max("bytes")).first()[0] or 0
+    heads = digests.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.max(F.struct("page_id", "n")).alias("x"), F.sum("n").alias("all"))
+    heads = heads.filter(F.col("all") > 1).select("digest", F.col("x.page_id").alias("head"), (F.col("x.n") == 1).alias("single")).filter("head is not null")
+    repeated = digests.join(heads, "digest").select("page_id", "digest", "head", "single").distinct()
+    known = rows.join(repeated, rows["page_id"].eqNullSafe(repeated["page_id"]) & (rows["digest"] == repeated["digest"]), "left").select(rows["*"], "head", "single")
+    known = known.withColumn("again", F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head")))
+    known = known.withColumns({x: F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")) for x in ("own", "own_request", "own_metadata")})
+    # What others refer to has an id that they can tell: the one response of a payload, if it is only one.
+    named = F.when(F.col("single"), _urn(F.lit("response"), F.col("head").cast("string"), F.col("digest")))
+    own = F.when(~F.col("again"), F.coalesce(named, "own")).otherwise(F.col("own"))
     target = ("WARC-Target-URI", F.col("url"))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
-    response = F.when(F.col("head").isNull(), _record("response", own, F.concat(http, "html"), "application/http; msgtype=response", target, digest)).otherwise(
-        _record("revisit", own, http, "application/http; msgtype=response", target, digest, ("WARC-Refers-To", _urn(F.lit("response"), head, F.col("digest"))), ("WARC-Profile", F.lit(PROFILE)))
+    response = F.when(~F.col("again"), _record("response", own, F.concat(http, "html"), "application/http; msgtype=response", target, digest)).otherwise(
+        _record("revisit", own, http, "application/http; msgtype=response", target, digest, ("WARC-Refers-To", named), ("WARC-Profile", F.lit(PROFILE)))
     )
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#]*)", 1)
     ask = F.concat(F.lit("GET "), F.coalesce(F.nullif("url", F.lit("")), F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit(END))
-    request = _record("request", _urn(F.lit("request"), page, F.col("digest")), ask, "application/http; msgtype=request", target, ("WARC-Concurrent-To", own))
+    request = _record("request", F.col("own_request"), ask, "application/http; msgtype=request", target, ("WARC-Concurrent-To", own))
     notes = F.concat_ws("\r\n", F.concat(F.lit("pageId: "), F.col("page_id").cast("string")), F.lit("via: crawl"))
-    metadata = _record("metadata", _urn(F.lit("metadata"), page, F.col("digest")), notes, "application/warc-fields", target, ("WARC-Concurrent-To", own))
-    records = known.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * PER_ARCHIVE).text(path)
+    metadata = _record("metadata", F.col("own_metadata"), notes, "application/warc-fields", target, ("WARC-Concurrent-To", own))
+    for (least, captures), (above, _) in zip(CLASSES, [*CLASSES[1:], (None, None)]):
+        if least <= most:
+            some = known.filter((F.col("bytes") >= least) & (F.col("bytes") < above if above else F.lit(True)))
+            records = some.select(F.explode(F.array(request, response, metadata)).alias("value"))
+            records.write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * captures).text(path)
+    drop(digests)
+
 
+RECORD = "record_id string, type string, target string, concurrent_to array<string>, refers_to string, payload_digest string, date string, headers map<string,string>, content string, payload_bytes long, payload_sha1 string"
 
-RECORD = "record_id string, type string, target string, concurrent_to string, refers_to string, payload_digest string, date string, headers map<string,string>, content string, payload_bytes long, payload_sha1 string"
 
+_BEGIN = re.compile(rb"(?:\A|(?<=\n))WARC/\d+\.\d+\r?\n")
+_LENGTH = re.compile("[0-9]{1,18}")
+_MAGIC, _CHUNK = b"\x1f\x8b\x08", 1 << 14
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of every record of an uncompressed archive. A cut last record is
-    given as far as it goes."""
+
+def parse_records(data: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """Headers (lower-case names, all values of each) and block of every record of an uncompressed archive. A cut last
+    record is given as far as it goes; after headers without a whole Content-Length the next record is looked for."""
     at = 0
-    while True:
-        at = data.find(b"WARC/", at)
-        if at < 0:
-            return
-        end = data.find(b"\r\n\r\n", at)
+    while begin := _BEGIN.search(data, at):
+        end = data.find(b"\r\n\r\n", begin.start())
         if end < 0:
             return
-        headers: dict[str, str] = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            name, _, value = line.partition(":")
-            headers[name.strip().lower()] = value.strip()
-        length = int(headers.get("content-length") or 0)
-        yield headers, data[end + 4 : end + 4 + length]
-        at = end + 4 + length
+        headers: dict[str, list[str]] = {}
+        values: list[str] = []
+        for line in data[begin.end() : end].decode("utf-8", "replace").split("\r\n"):
+            if line[:1] in (" ", "\t") and values:
+                values[-1] += " " + line.strip()  # a folded line
+            else:
+                name, _, value = line.partition(":")
+                values = headers.setdefault(name.strip().lower(), [])
+                values.append(value.strip())
+        length = headers.get("content-length", [""])[0]
+        at = end + 4
+        if _LENGTH.fullmatch(length):
+            yield headers, data[at : at + int(length)]
+            at += int(length)
 
 
 def _inflate(data: bytes) -> bytes:
-    if data[:2] != b"\x1f\x8b":
+    """An archive's bytes. Of gzip members each is read as far as it goes; after a broken one the next is looked for."""
+    if not data.startswith(_MAGIC[:2]):
         return data
-    try:
-        return gzip.decompress(data)  # any number of members
-    except (EOFError, zlib.error):
-        return zlib.decompressobj(31).decompress(data)
+    out, at, view = [], 0, memoryview(data)
+    while 0 <= at < len(data):
+        member, here = zlib.decompressobj(31), at
+        try:
+            while not member.eof and here < len(data):
+                out.append(member.decompress(view[here : here + _CHUNK]))
+                here += _CHUNK
+        except zlib.error:
+            at = data.find(_MAGIC, at + 1)
+            out.append(b"\r\n")  # a record may begin here
+            continue
+        at = data.find(_MAGIC, min(here, len(data)) - len(member.unused_data))
+    return b"".join(out)
+
+
+def _row(headers: dict[str, list[str]], block: bytes, content: bool) -> tuple:
+    first = lambda name: next(iter(headers.get(name, ())), None)
+    kind = first("warc-type")
+    payload = block.partition(b"\r\n\r\n")[2] if (first("content-type") or "").startswith("application/http") else block
+    own = first("warc-record-id") or f"<urn:sha1:{hashlib.sha1(repr(sorted(headers.items())).encode() + block).hexdigest()}>"
+    text = payload.decode("utf-8", "replace") if content or kind != "response" else None
+    digest = (first("warc-payload-digest") or "").removeprefix("sha1:") or None
+    flat = [(k, ", ".join(v)) for k, v in headers.items()]
+    return own, kind, first("warc-target-uri"), headers.get("warc-concurrent-to", []), first("warc-refers-to"), digest, first("warc-date"), flat, text, len(payload), hashlib.sha1(payload).hexdigest()
 
 
 def _parse(content: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column("content"):
-                rows = []
-                for h, block in parse_records(_inflate(blob.as_py())):
-                    payload = block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else block
-                    full = h.get("warc-type") == "response"
-                    rows.append((h.get("warc-record-id"), h.get("warc-type"), h.get("warc-target-uri"), h.get("warc-concurrent-to"), h.get("warc-refers-to"), (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None, h.get("warc-date"), list(h.items()), payload.decode("utf-8", "replace") if content or not full else None, len(payload), hashlib.sha1(payload).hexdigest()))
-                    if len(rows) == 500:
+                rows, held = [], 0
+                for headers, block in parse_records(_inflate(blob.as_py())):
+                    rows.append(_row(headers, block, content))
+                    held += len(block)
+                    if len(rows) == 500 or held > 16 << 20:
                         yield _batch(rows)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield _batch(rows)
 
     return run
 
 
-_ARROW = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("target", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("date", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("content", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string())])
+_ARROW = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("target", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("date", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("content", pa.string()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string())])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -141,15 +183,29 @@ def read_warc(spark: SparkSession, path: str, content: bool = True) -> DataFrame
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row for each capture: its request, response (or revisit) and metadata records, joined through
-    the identifiers they are concurrent to. A record that names no other is a capture's main record; parts
-    whose main record is missing form a capture with a null response."""
+    """One nested row for each capture: its request, response (or revisit) and metadata records, and how many records it
+    has, joined through all identifiers that they are concurrent to, over any number of steps. Of several records of a
+    kind the one of the greatest id stands in the row. Parts whose main record is missing form a capture with a null
+    response. ``capture_id``: the response's id, or what the parts name."""
+    records = table(records, "warc-records")
+    links = records.select(F.col("record_id").alias("u"), F.explode("concurrent_to").alias("v")).filter("u <> v")
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("gives"), F.lit(0).alias("takes")).union(links.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("x").agg(F.sum("gives").alias("gives"), F.sum("takes").alias("takes"))
+    main = F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id")
+    if ends.filter("gives > 1 or gives > 0 and takes > 0").limit(1).count():
+        # Chains, or records that name several: captures are the components of the links.
+        roots = components(links.select(F.xxhash64("u").alias("a"), F.xxhash64("v").alias("b")))
+        own = F.xxhash64("record_id")
+        known = records.withColumn("node", own).join(roots, "node", "left").withColumn("key", F.coalesce("root", "node").cast("string"))
+    else:
+        known = records.withColumn("key", main)
     whole = F.struct("record_id", "type", "target", "refers_to", "payload_digest", "date", "headers", "content", "payload_bytes", "payload_sha1")
 
     def part(*types: str) -> F.Column:
         return F.max_by(F.when(F.col("type").isin(*types), whole), F.when(F.col("type").isin(*types), F.col("record_id")))
 
-    return records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"))
+    out = known.groupBy("key").agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"), F.count(F.lit(1)).alias("records"), F.min(main).alias("named"))
+    return out.select(F.coalesce("response.record_id", "named").alias("capture_id"), "response", "request", "metadata", "records")
 
 
 def op3_warc(spark, sf_dir: str) -> DataFrame:
@@ -157,10 +213,17 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
     path = fresh(spark, "warc")
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     captures = assemble(read_warc(spark, path, content=False))
-    captures = table(captures.select("capture_id", F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("refers"), F.col("response.payload_bytes").alias("bytes"), F.col("response.payload_sha1").alias("sha1"), F.regexp_extract("metadata.content", r"pageId: (-?\d+)", 1).try_cast("long").alias("page_id")), "warc-captures")
-    heads = captures.filter("record_type = 'response'").select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("bytes").alias("head_bytes"), F.col("sha1").alias("head_sha1"))
-    out = captures.join(heads, "refers", "left")
-    return out.select("page_id", F.coalesce("head_bytes", "bytes").alias("payload_bytes"), F.coalesce("head_sha1", "sha1").alias("payload_digest"), "record_type", "refers_to")
+    r = F.col("response")
+    captures = captures.select("capture_id", r["type"].alias("record_type"), r["refers_to"].alias("refers"), r["payload_digest"].alias("digest"), r["payload_bytes"].alias("bytes"), r["payload_sha1"].alias("sha1"), F.regexp_extract("metadata.content", r"pageId: (-?\d+)", 1).try_cast("long").alias("page_id"))
+    captures = table(captures, "warc-captures")
+    remove(spark, path)
+    # A revisit names the response's id, or, where equal rows gave several responses, their payload's digest alone.
+    responses = captures.filter("record_type = 'response'")
+    heads = responses.select(F.explode(F.array("capture_id", F.when(F.col("bytes") >= REVISIT_FROM, F.col("sha1")))).alias("refers"), "page_id", "bytes", "sha1")
+    heads = heads.filter("refers is not null").groupBy("refers").agg(F.max(F.struct("page_id", "bytes", "sha1")).alias("head"))
+    revisits = captures.filter("record_type = 'revisit'").withColumn("refers", F.coalesce("refers", "digest")).join(heads, "refers", "left")
+    out = responses.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    return out.union(revisits.select("page_id", "head.bytes", "head.sha1", "record_type", "head.page_id"))
 
 
 #: The contract's rows from the table alone.
