@@ -1,6 +1,8 @@
 """Each operator against brute force, SQL, an exact round trip or held-out accuracy."""
 
 import hashlib
+import itertools
+import math
 import zlib
 from collections import Counter
 
@@ -226,6 +228,56 @@ def test_mined_rules_judge_by_all_their_tokens(spark):
     assert got == {1: "block", 2: "allow", 3: "allow"}
 
 
+def _mined_by_hand(labelled, urls, support, confidence, most):
+    """All antecedents of up to ``most`` tokens, counted one by one."""
+    n, base = len(labelled), Counter(v for _, v in labelled)
+    counts: Counter = Counter()
+    for items, v in labelled:
+        for k in range(1, most + 1):
+            for a in itertools.combinations(sorted(items), k):
+                counts[a] += 1
+                counts[(a, v)] += 1
+    rules = {}
+    for (a, v), c in ((k, c) for k, c in counts.items() if len(k) == 2 and isinstance(k[0], tuple)):
+        if c >= math.ceil(support * n) and c / counts[a] >= confidence and c / counts[a] / (base[v] / n) > 1:
+            rules[(a, v)] = (c / counts[a], c / n)
+    kept = {(a, v): x for (a, v), x in rules.items() if not any((b, v) in rules and rules[(b, v)][0] >= x[0] for k in range(1, len(a)) for b in itertools.combinations(a, k))}
+    out = []
+    for items in urls:
+        fits = [(*x, v) for (a, v), x in kept.items() if set(a) <= set(items)]
+        out.append({f[2] for f in fits if f[:2] == max(fits)[:2]} if fits else None)
+    return out
+
+
+def test_mined_layer_by_hand(spark):
+    rng = np.random.default_rng(6)
+    pick = lambda *xs: str(rng.choice(xs))
+    make = lambda: f"http://{pick('a', 'b', 'c')}.{pick('spam-x', 'fine', 'shop-y')}.{pick('org', 'io')}/{pick('ads', 'wiki', '')}/{pick('p', 'q', 'p/q')}{pick('.html', '')}?{pick('id=1', 'ref=2', '')}"
+    judged = lambda u: "block" if ("spam" in u and "ref" in u) or ("ads" in u and "shop" in u) or rng.random() < 0.05 else "allow"
+    labelled = [(u, judged(u)) for u in (make() for _ in range(300))]
+    pages = spark.createDataFrame([(i, make()) for i in range(200)], "page_id long, url string")
+    labels = spark.createDataFrame(labelled, "url string, verdict string")
+    got = {r["page_id"]: (r["verdict"], r["judged_by"]) for r in urlrules.filter_urls(pages, rules=[("none.example/", "block")], labels=labels, min_support=0.02, min_confidence=0.9).collect()}
+    split = lambda df: [list(r["x"]) for r in df.select(urlrules.tokens(*urlrules.split_url(F.col("url"))).alias("x")).collect()]
+    want = _mined_by_hand(list(zip(split(labels), [v for _, v in labelled])), split(pages.orderBy("page_id")), 0.02, 0.9, urlrules.LONGEST)
+    assert {got[i] for i in got} >= {("block", "mined"), ("allow", "mined")}
+    for i, w in enumerate(want):
+        assert got[i] == ("allow", "default") if w is None else got[i][1] == "mined" and got[i][0] in w
+
+
+def test_long_urls_are_mined_like_short_ones(spark):
+    """Tokens that always stand together are one item; any of them calls the rule."""
+    def verdicts(n):
+        tail = "/".join(f"step{chr(97 + i)}" for i in range(n))
+        rows = [(f"http://x.org/{tail}", "block")] * 30 + [(f"http://y.io/{chr(97 + i % 20)}{'/own' * (i % 3)}", "allow") for i in range(60)]
+        pages = spark.createDataFrame([(1, "http://z.com/stepa"), (2, f"http://z.com/step{chr(96 + n)}"), (3, "http://z.com/none"), (4, "http://y.io/k")], "page_id long, url string")
+        labels = spark.createDataFrame(rows, "url string, verdict string")
+        out = urlrules.filter_urls(pages, rules=[("none.example/", "block")], labels=labels, min_support=0.05)
+        return [r["verdict"] for r in out.orderBy("page_id").collect()]
+
+    assert verdicts(2) == verdicts(22) == ["block", "block", "allow", "allow"]
+
+
 # Toxicity.
 
 
