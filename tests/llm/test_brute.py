@@ -354,19 +354,82 @@ def test_finds_every_verbatim_item(spark):
         assert decontaminate.common([hash(x) for x in a], [hash(x) for x in b]) >= r["lcs"] >= 0.5 * len(a)
 
 
-def test_finds_paraphrases(spark, texts):
+def test_recall_against_all_places(spark):
+    """Every place of every document against every item by longest common subsequence, with paraphrases planted that
+    change the rarest words, any words, or half the words but not the answer."""
     d = SMALL.replace("sf0.001", "sf0.01")
     bench = spark.read.parquet(f"{d}/benchmark.parquet")
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    items = {r["item_id"]: r["text"] for r in bench.collect()}
+    spread = Counter(w for t in texts.values() for w in set(t.lower().split()))
     rng = np.random.default_rng(2)
-    host = texts[min(texts)].split()
+    hosts = [t.split() for t in texts.values() if len(t.split()) > 200]
     planted = []
-    for r in bench.collect():
-        w = [x if rng.random() > 0.2 or i >= len(r["text"].split()) - 8 else "changed" for i, x in enumerate(r["text"].split())]
-        planted.append((1_000_000 + r["item_id"], " ".join(host[:40] + w + host[40:80])))
-    found = decontaminate.find_leaks(docs.union(spark.createDataFrame(planted, docs.schema)), bench)
-    got = {(r["doc_id"] - 1_000_000, r["item_id"]) for r in found.collect() if r["doc_id"] >= 1_000_000}
-    assert sum((i, i) in got for i in range(len(planted))) >= 0.9 * len(planted)
+    for n, (i, t) in enumerate(items.items()):
+        w = t.split()
+        for kind in range(3):
+            turn = np.argsort([spread[x.lower()] + rng.random() for x in w]) if kind == 0 else rng.permutation(len(w) if kind == 1 else max(1, len(w) - 8))
+            changed = list(w)
+            for k in turn[: int(len(w) * (0.3 if kind < 2 else 0.45))]:
+                changed[k] = str(rng.choice(hosts[int(rng.integers(len(hosts)))]))
+            host = hosts[int(rng.integers(len(hosts)))]
+            planted.append((1_000_000 + 3 * n + kind, " ".join(host[:40] + changed + host[40 : 60 + int(rng.integers(90))])))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs.union(spark.createDataFrame(planted, docs.schema)), bench).collect()}
+    texts.update(planted)
+    words = wordscan.scan(pa.array(list(texts.values())))
+    hashes, ids = words.hashes(lower=True), list(texts)
+    truth = set()
+    for i, t in items.items():
+        item = wordscan.scan(pa.array([t])).hashes(lower=True)
+        own, answer = item.tolist(), item[-decontaminate.ANSWER :].tolist()
+        total = np.r_[0, np.cumsum(np.isin(hashes, item))]
+        for doc, (lo, hi) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
+            for start in range(lo - 16, hi, 16):
+                x, y = decontaminate.region(start, len(own))
+                x, y = max(lo, x), min(hi, y)
+                if total[y] - total[x] >= 0.5 * len(own):
+                    lcs = decontaminate.common(own, hashes[x:y].tolist())
+                    if lcs >= decontaminate.STRONG * len(own) or lcs >= decontaminate.WEAK * len(own) and decontaminate.common(answer, hashes[x:y].tolist()) >= math.ceil(0.75 * len(answer)):
+                        truth.add((ids[doc], i))
+    for kind in range(3):
+        some = {p for p in truth if p[0] >= 1_000_000 and p[0] % 3 == (1_000_000 + kind) % 3}
+        assert len(some) > 20 and len(some & got) >= 0.9 * len(some), (kind, len(some & got), len(some))
+    assert len(truth & got) >= 0.95 * len(truth)
+    assert len(got - truth) <= 0.02 * len(got)  # places between those of the brute force
+
+
+def test_later_place_counts_on_its_own(spark):
+    """A decoy of more words without the answer does not hide a place with it, and items of few words are found."""
+    item = [f"q{i}" for i in range(20)]
+    pad = [f"x{i}" for i in range(100)]
+    decoy, real = item[:11], item[:2] + item[12:]
+    docs = spark.createDataFrame([(1, " ".join(decoy + pad + real)), (2, " ".join(real)), (3, " ".join(decoy)), (4, "a b c q0 q1 d e"), (5, "q1 q0")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "q0 q1"), (3, "b")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["answer"] for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert {(1, 1), (2, 1), (1, 2), (2, 2), (3, 2), (4, 2), (4, 3)} <= set(got) and (3, 1) not in got and got[(1, 1)]
+
+
+def test_blocks_of_items(spark, texts, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    whole = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "ITEMS", 7)
+    assert sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect())) == whole
+
+
+def test_singular_vectors(spark, docs):
+    """The distributed SVD against numpy's, on the same matrix."""
+    idf, n = decontaminate.inverse_frequencies(docs.select("text"))
+    right, singular = decontaminate.latent_space(docs.select("text"), idf, n, rank=24)
+    rows = np.concatenate([decontaminate._passages(wordscan.scan(pa.array([t]))) for t in sorted({r["text"] for r in docs.collect() if r["text"]})])
+    used = np.flatnonzero(np.bincount(rows.ravel(), minlength=decontaminate.BUCKETS + 1)[:-1])
+    a = np.zeros((len(rows), decontaminate.BUCKETS + 1), np.float32)
+    np.add.at(a, (np.arange(len(rows))[:, None], rows), np.append(idf, 0)[rows])
+    norm = np.sqrt((np.append(idf, 0)[rows] ** 2).sum(axis=1, keepdims=True))
+    a = (a / np.where(norm > 0, norm, 1))[:, used]
+    want = np.sqrt(np.linalg.eigvalsh(a @ a.T if len(a) < len(used) else a.T @ a)[::-1][:24])
+    assert np.allclose(singular[:8], want[:8], rtol=0.03) and np.allclose(right.T @ right, np.eye(24), atol=1e-4)
 
 
 # Sharding.
