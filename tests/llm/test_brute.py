@@ -490,6 +490,26 @@ def test_signature_is_of_a_permutation():
     assert sorted((s >> np.uint64(48)).tolist()) == list(range(superminhash.SLOTS))
 
 
+def test_pairs_of_cells():
+    """Against comparing row by row, over cells that end anywhere in a batch."""
+    rng = np.random.default_rng(5)
+    cell = np.sort(rng.integers(0, 12, 300))
+    base = rng.integers(0, 256, (6, 128))
+    rows = base[rng.integers(0, 6, 300)]
+    sig = np.where(rng.random((300, 128)) < rng.choice([0.05, 0.2, 0.5], (300, 1)), rng.integers(0, 256, (300, 128)), rows).astype(np.uint8)
+    comp, size, outer, n = rng.integers(0, 9, 300), rng.integers(1, 4, 300), rng.random(300) < 0.5, rng.integers(80, 120, 300)
+    want = set()
+    for i in np.flatnonzero(outer):
+        for j in np.flatnonzero((cell == cell[i]) & (comp != comp[i])):
+            if 100 * min(n[i], n[j]) >= 75 * max(n[i], n[j]) and (sig[i] == sig[j]).sum() >= neardup.LEAST:
+                home, guest = (i, j) if (size[i], -comp[i]) > (size[j], -comp[j]) else (j, i)
+                want |= {(comp[home], False, home), (comp[home], True, guest)}
+    table = pa.table({"cell": cell, "id": np.arange(300), "comp": comp, "size": size, "outer": outer, "n": n, "sig": pa.array([x.tobytes() for x in sig], pa.binary())})
+    for step in (1, 7, 50, 300):
+        got = [tuple(r.values()) for b in neardup._suspects(iter(table.to_batches(max_chunksize=step))) for r in b.to_pylist()]
+        assert set(got) == want and len(want) > 50
+
+
 def test_star_misses_are_found(spark, monkeypatch):
     """A chain of texts, each near its neighbours only, in blocks of two."""
     monkeypatch.setattr(neardup, "BLOCK", 2)

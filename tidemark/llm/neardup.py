@@ -9,7 +9,8 @@
    component, in blocks again, and confirmed on full sets. No pair list is ever made: a block yields only links.
 
 A pair at the threshold shares none of its 32 bands with probability (1 - 0.75^4)^32 = 5e-6; the signature
-filter (``LEAST`` of 128 equal slots) lets a linked pair go with about 3e-6.
+filter (``LEAST`` of 128 equal slots) lets a pair at the threshold go with at most 5e-6 (binomial), and the filter on one
+bit of each slot before it (``BITS`` of 128) with 1e-6.
 
 Defined results: null and empty texts have empty sets and stay alone; shorter texts than a shingle have their
 whole word sequence as their one shingle; repeated rows share a class; a null id is never a component's id
@@ -33,8 +34,9 @@ from tidemark.llm.superminhash import SLOTS, bands, overlap, shingles, signature
 from tidemark.llm.wordscan import scan, slices
 
 WIDTH, PERCENT, ROWS = 5, 75, 4
-#: Equal slots of 128 under which a pair at 0.75 (96 expected, deviation about 4) need not be looked at.
-LEAST = 78
+#: Equal slots of 128 under which a pair at 0.75 (96 expected, deviation at most 4.9) need not be looked at, and equal
+#: lowest bits of slots (112 expected, deviation 3.7).
+LEAST, BITS = 74, 93
 #: Members of one block of a bucket; ids that a broadcast filter may hold.
 BLOCK, BROADCAST = 2048, 1_000_000
 
@@ -105,20 +107,74 @@ def _near(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> Itera
         yield i, at[(y[at] == x[i]).sum(axis=1) >= LEAST]
 
 
-def _suspects(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Members of one block of a bucket that may link to another component: (comp, outer, id) with the
-    component whose members they are compared with."""
-    sig, n, comp, size, ids, outer = _matrix(pdf["sig"]), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["size"].to_numpy(), pdf["id"].to_numpy(), pdf["outer"].to_numpy()
+def _bits(sig: np.ndarray) -> np.ndarray:
+    """The lowest bit of every slot, 64 to a word."""
+    return np.packbits(sig & 1, axis=1).view(np.uint64)
+
+
+#: Pairs compared at once.
+PAIRS = 1 << 19
+
+
+def _pairs(group: np.ndarray, outer: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of rows in groups that follow each other: outer rows and rows of other components in their group that sizes and
+    signatures let pass."""
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.r_[start, len(group)])
+    lane = np.cumsum(np.r_[False, group[1:] != group[:-1]])
     rows = np.flatnonzero(outer)
-    found: set[tuple[int, bool, int]] = set()
-    for i, near in _near(sig[rows], n[rows], sig, n):
-        i = rows[i]
-        for j in near[comp[near] != comp[i]].tolist():
-            # The larger component (then the smaller id) is the one compared with; the other side comes to it.
-            home, guest = (i, j) if (size[i], -comp[i]) > (size[j], -comp[j]) else (j, i)
-            found.add((int(comp[home]), False, int(ids[home])))
-            found.add((int(comp[home]), True, int(ids[guest])))
-    return pd.DataFrame(sorted(found), columns=["comp", "outer", "id"]).astype({"comp": np.int64, "outer": bool, "id": np.int64})
+    width = size[lane[rows]]
+    bits = _bits(sig)
+    upto = np.cumsum(width)
+    a = 0
+    while a < len(rows):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, side="right")))
+        w = width[a:b]
+        i = np.repeat(rows[a:b], w)
+        j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(start[lane[rows[a:b]]], w)
+        equal = 128 - np.bitwise_count(bits[i, 0] ^ bits[j, 0]).astype(np.int16) - np.bitwise_count(bits[i, 1] ^ bits[j, 1])
+        some = np.flatnonzero((equal >= BITS) & (comp[i] != comp[j]))
+        i, j = i[some], j[some]
+        some = np.flatnonzero(100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+        for c in range(0, len(some), 1 << 16):
+            x, y = i[some[c : c + (1 << 16)]], j[some[c : c + (1 << 16)]]
+            near = (sig[x] == sig[y]).sum(axis=1) >= LEAST
+            yield x[near], y[near]
+        a = b
+
+
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the cells of buckets that may link to another component: (comp, outer, id) with the component whose
+    members they are compared with. Rows come ordered by cell; a cell has at most two blocks."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = np.asarray(batch.column("cell"))
+        last = int(np.searchsorted(group, group[-1]))  # the last cell may go on in the next batch
+        if last or held and held[-1].column("cell")[0].as_py() != group[0]:
+            held.append(batch.slice(0, last))
+            yield from _compared(held)
+            held = []
+        held.append(batch.slice(last))
+    yield from _compared(held)
+
+
+def _compared(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = pa.Table.from_batches([p for p in parts if p.num_rows]) if any(p.num_rows for p in parts) else None
+    if rows is None:
+        return
+    group, ids, comp, size, outer, n = (rows.column(x).to_numpy() for x in ("cell", "id", "comp", "size", "outer", "n"))
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+    found = [np.zeros((0, 3), np.int64)]
+    for i, j in _pairs(group, outer, comp, n, sig):
+        # The larger component (then the smaller id) is the one compared with; the other side comes to it.
+        first = (size[i] > size[j]) | ((size[i] == size[j]) & (comp[i] < comp[j]))
+        home, guest = np.where(first, i, j), np.where(first, j, i)
+        for side, x in ((0, home), (1, guest)):
+            found.append(np.unique(np.stack([comp[home], np.full(len(x), side), ids[x]], axis=1), axis=0))
+    out = np.unique(np.concatenate(found), axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1] == 1), pa.array(out[:, 2])], names=["comp", "outer", "id"])
 
 
 def _links(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -176,8 +232,10 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     to_outer = F.transform(F.filter(F.sequence(F.lit(0), F.col("outer_blocks") - 1), lambda j: j != F.col("own")), lambda j: F.struct(F.lit("o").alias("kind"), F.least(j, F.col("own")).cast("long").alias("x"), F.greatest(j, F.col("own")).cast("long").alias("y")))
     blocks = blocks.withColumn("cell", F.explode(cells.otherwise(F.concat(to_home, to_outer))))
     blocks = blocks.join(size, "comp", "left").join(slim, "id")
-    blocks = blocks.select("key", "cell", "id", "comp", F.coalesce("size", F.lit(1)).cast("long").alias("size"), "outer", "n", "sig")
-    suspects = table(blocks.groupBy("key", "cell").applyInPandas(_suspects, "comp long, outer boolean, id long").distinct(), "dup-suspects")
+    # Cells that hash alike are compared too, which does no harm.
+    blocks = blocks.select(F.xxhash64("key", "cell").alias("cell"), "id", "comp", F.coalesce("size", F.lit(1)).cast("long").alias("size"), "outer", "n", "sig")
+    blocks = blocks.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell").sortWithinPartitions("cell")
+    suspects = table(blocks.mapInArrow(_suspects, "comp long, outer boolean, id long").distinct(), "dup-suspects")
     # Blocks of a component: members against guests.
     n = suspects.groupBy("comp").agg(F.ceil(F.count_if("outer") / 256).alias("guests"), F.ceil(F.count_if(~F.col("outer")) / BLOCK).alias("homes"))
     units = suspects.join(n, "comp").withColumn("hash", F.xxhash64("id"))
