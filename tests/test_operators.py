@@ -2,6 +2,8 @@ import datetime as dt
 import json
 import zipfile
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import anchor as an
@@ -10,6 +12,7 @@ from tidemark.operators import glossary as gl
 from tidemark.operators import housekeeping as hk
 from tidemark.operators import timeline as tl
 from tidemark.operators import words as wd
+from tidemark.plans import queries as base
 from tidemark.plans import views as v
 from tidemark.sources import external as ex
 from tidemark.sources import plans as pl
@@ -233,3 +236,16 @@ def test_remaining_readers_and_checks(spark):
     assert {r["chunk_no"]: (r["status"], r["instead"]) for r in ck.wording(src, out).collect()} == {1: ("subset", None), 2: ("differs", "x"), 3: ("missing", None)}
     assert ck.ends(spark.createDataFrame([([1, 2, 3, 4],)], "a array<int>"), "a", 2).first()["tail"] == [3, 4]
     assert ck.summary(ck.wording(src, out)).count() == 3
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab'é", max_size=120), st.lists(st.one_of(st.none(), st.text("ab'é", max_size=30), st.tuples(st.integers(0, 90), st.integers(0, 60))), max_size=8))
+def test_places_of_strings(text, wanted):
+    wanted = [text[w[0] : w[0] + w[1]] if isinstance(w, tuple) else w for w in wanted]
+    want = [(-1, -1) if not w else (first := text.find(w), text.find(w, first + 1) if first >= 0 else -1) for w in wanted]
+    assert an.places(text, wanted) == want
+
+
+def test_prompts_carry_terms(spark):
+    rows = base.QUERIES["prompt_render"](spark, SMALL).collect()
+    assert any("Terms: none" not in r["prompt"] for r in rows)

@@ -1,15 +1,18 @@
 """Anchoring sentences on the time axis by their place in the normalised text.
 
 A document's normalised cues are one string with an offset for each cue. Sentences are located in it inside one
-row for each document, so the string is never copied to a row for each sentence; only the offsets found meet the
-cues, in a join keyed by document.
+row for each document, so the string is never copied to a row for each sentence: all places of the text are hashed once,
+and a sentence looks its beginning up among them. Only the offsets found meet the cues, in a join keyed by document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -34,25 +37,60 @@ def locate(cues: DataFrame, sentences: DataFrame, normal=tx.norm) -> DataFrame:
     """(doc_id, seq, pos, pos_end, status): first place of each sentence, 0-based; 'non-unique' if there is a
     second, 'failed' if there is none or nothing is left of the sentence."""
     full = full_text(cues, normal)
-    wanted = sentences.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", normal(F.col("sentence")).alias("n")))).alias("s"))
-    both = wanted.join(full, "doc_id", "left").withColumn("full", F.coalesce("full", F.lit("")))
-
-    # A literal pattern is searched by skipping (Boyer-Moore), unlike ``position``, which compares at every place. In two
-    # steps: a lambda's expression is evaluated wherever it stands, so the first place is bound before use.
-    def find(text: Column, n: Column) -> Column:
-        return F.regexp_instr(text, F.concat(F.lit("\\Q"), n, F.lit("\\E")))
-
-    def first(x: Column) -> Column:
-        return F.struct(x["seq"].alias("seq"), x["n"].alias("n"), F.when(x["n"] != "", find(F.col("full"), x["n"])).alias("first"))
+    wanted = sentences.groupBy("doc_id").agg(F.collect_list(F.struct("seq", normal(F.col("sentence")).alias("n"))).alias("s"))
+    both = wanted.join(full, "doc_id", "left").select("doc_id", F.coalesce("full", F.lit("")).alias("full"), F.col("s.seq").alias("seq"), F.col("s.n").alias("n"))
+    types = {f.name: f.dataType.simpleString() for f in sentences.schema}
+    return both.mapInArrow(_locate, f"doc_id {types['doc_id']}, seq {types['seq']}, pos bigint, pos_end bigint, status string")
+
+
+def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            seq, found = batch.column("seq")[row].values, []
+            for n, (first, again) in zip(wanted := batch.column("n")[row].as_py(), places(batch.column("full")[row].as_py(), wanted)):
+                found.append((first, first + len(n) - 1, "unique" if again < 0 else "non-unique") if first >= 0 else (None, None, "failed"))
+            pos, end, status = zip(*found) if found else ((), (), ())
+            ids = pa.array([batch.column("doc_id")[row].as_py()] * len(found), batch.column("doc_id").type)
+            yield pa.RecordBatch.from_arrays([ids, seq, pa.array(pos, pa.int64()), pa.array(end, pa.int64()), pa.array(status, pa.string())], names=["doc_id", "seq", "pos", "pos_end", "status"])
+
+
+#: Characters of a sentence's beginning that are looked up.
+GRAM = 16
+
+
+def places(text: str, wanted: list[str | None]) -> list[tuple[int, int]]:
+    """First and second place of each string in a text, -1 where there is none; empty strings have none."""
+    out = []
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    heads = [n for n in wanted if n and len(n) >= GRAM]
+    at: dict[int, list[int]] = {}
+    if heads and len(codes) >= GRAM:
+        begins = np.frombuffer("".join(n[:GRAM] for n in heads).encode("utf-32-le"), np.uint32).reshape(-1, GRAM)
+        grams, keys = _hash(np.lib.stride_tricks.sliding_window_view(codes, GRAM)), _hash(begins)
+        known = np.unique(keys)
+        hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams)
+        for key, p in zip(grams[hit].tolist(), hit.tolist()):
+            at.setdefault(key, []).append(p)
+        keys = iter(keys.tolist())
+    for n in wanted:
+        if not n or len(n) > len(text):
+            out.append((-1, -1))
+            if n and len(n) >= GRAM and len(codes) >= GRAM:
+                next(keys)
+        elif len(n) < GRAM:
+            first = text.find(n)
+            out.append((first, text.find(n, first + 1) if first >= 0 else -1))
+        else:
+            got = islice((p for p in at.get(next(keys), ()) if text.startswith(n, p)), 2)
+            out.append((next(got, -1), next(got, -1)))
+    return out
 
-    def second(x: Column) -> Column:
-        return F.struct(x["seq"].alias("seq"), F.length(x["n"]).alias("len"), x["first"].alias("first"), F.when(x["first"] > 0, find(F.substring("full", x["first"] + 1, F.length("full")), x["n"])).alias("again"))
 
-    out = both.select("doc_id", F.explode(F.transform(F.transform("s", first), second)).alias("x"))
-    ok = F.col("x.first") > 0
-    status = F.when(~F.coalesce(ok, F.lit(False)), "failed").when(F.col("x.again") > 0, "non-unique").otherwise("unique")
-    pos = F.when(ok, F.col("x.first") - 1).cast("bigint")
-    return out.select("doc_id", F.col("x.seq").alias("seq"), pos.alias("pos"), (pos + F.col("x.len") - 1).cast("bigint").alias("pos_end"), status.alias("status"))
+def _hash(rows: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(rows), np.uint64)
+    for i in range(GRAM):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + rows[:, i]
+    return out
 
 
 def on_cues(places: DataFrame, offsets: DataFrame) -> DataFrame:

@@ -416,7 +416,7 @@ _PLACES = f"""with {v.DOC_CUES}, {v.DOC_SENTENCES}, nc as (select doc_id, idx, r
     pos as (select doc_id, seq, case when p > 0 then cast(p - 1 as bigint) end pos, case when p > 0 then cast(p - 1 + length(n) - 1 as bigint) end pos_end, case when p is null or p = 0 then 'failed' when strpos(substr(f, p + 1), n) > 0 then 'non-unique' else 'unique' end status from pl)"""
 
 
-@query(_PLACES + " select p.doc_id, seq, pos, pos_end, status, a.idx cue_first, b.idx cue_last from pos p left join off a on a.doc_id = p.doc_id and pos >= a.off_end - length(a.n) and pos < a.off_end left join off b on b.doc_id = p.doc_id and pos_end >= b.off_end - length(b.n) and pos_end < b.off_end")
+@query(_PLACES + ", st as (select doc_id, idx, off_end - length(n) s from off where length(n) > 0) select p.doc_id, seq, pos, pos_end, status, a.idx cue_first, b.idx cue_last from pos p asof left join st a on a.doc_id = p.doc_id and p.pos >= a.s asof left join st b on b.doc_id = p.doc_id and p.pos_end >= b.s")
 def anchor_sentences(spark, d):
     c = v.doc_cues(spark, d)
     return an.on_cues(an.locate(c, v.doc_sentences(spark, d)), an.cue_offsets(c)).select("doc_id", "seq", "pos", "pos_end", "status", "cue_first", "cue_last")
@@ -633,11 +633,16 @@ def keep_best_copy(spark, d):
     return hk.keep_best(pages).select("title", "fidelity", "fetched")
 
 
-@query(ALL + ", t as (select doc_id, chunk_no, string_agg(text, ' ' order by idx) as text from chunked group by 1, 2) select doc_id, chunk_no, 'Before: ' || coalesce(lag(text) over w, '') || chr(10) || 'Now: ' || text || chr(10) || 'Terms: ' || 'none' prompt from t window w as (partition by doc_id order by chunk_no)")
+_HITS = """, hw as (select distinct doc_id, idx, w from (select doc_id, idx, unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) w from cues) where length(w) = 7),
+    ht as (select doc_id, chunk_no, string_agg(x, '; ' order by x) terms from (select distinct c.doc_id, c.chunk_no, w || ' = ' || upper(w) x from chunked c join hw using (doc_id, idx)) group by 1, 2)"""
+
+
+@query(ALL + _HITS + ", t as (select doc_id, chunk_no, string_agg(text, ' ' order by idx) as text from chunked group by 1, 2) select doc_id, chunk_no, 'Before: ' || coalesce(lag(text) over w, '') || chr(10) || 'Now: ' || text || chr(10) || 'Terms: ' || coalesce(terms, 'none') prompt from t left join ht using (doc_id, chunk_no) window w as (partition by doc_id order by chunk_no)")
 def prompt_render(spark, d):
-    chunks = cu.chunk(v.cues(spark, d), 3, 0, 5000)
-    hits = chunks.select("doc_id", "idx", F.lit("a").alias("term_key"), F.lit("b").alias("zh")).limit(0)
-    return hk.prompts(chunks, hits, "Before: {prev}\nNow: {text}\nTerms: {terms}")
+    c = v.cues(spark, d)
+    words = c.select("doc_id", "idx", F.explode(F.array_distinct(tx.words("text"))).alias("term_key")).filter(F.length("term_key") == 7)
+    hits = words.withColumn("zh", F.upper("term_key"))
+    return hk.prompts(cu.chunk(c, 3, 0, 5000), hits, "Before: {prev}\nNow: {text}\nTerms: {terms}")
 
 
 @query("select replace(replace(url, '/', '_'), ' ', '_') as name, '---' || chr(10) || 'title: ' || url || chr(10) || 'url: ' || url || chr(10) || 'fetched: 2024-01-01T00:00:00Z' || chr(10) || 'via: api' || chr(10) || 'fidelity: plain' || chr(10) || '---' || chr(10) || chr(10) || html as value from pages")
