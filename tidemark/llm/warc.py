@@ -65,9 +65,12 @@ def write_warc(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM) ->
     heads = digests.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.max(F.struct("page_id", "n")).alias("x"), F.sum("n").alias("all"))
     heads = heads.filter(F.col("all") > 1).select("digest", F.col("x.page_id").alias("head"), (F.col("x.n") == 1).alias("single")).filter("head is not null")
     repeated = digests.join(heads, "digest").select("page_id", "digest", "head", "single").distinct()
-    known = rows.join(repeated, rows["page_id"].eqNullSafe(repeated["page_id"]) & (rows["digest"] == repeated["digest"]), "left").select(rows["*"], "head", "single")
-    known = known.withColumn("again", F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head")))
-    known = known.withColumns({x: F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")) for x in ("own", "own_request", "own_metadata")})
+
+    def told(rows: DataFrame) -> DataFrame:
+        known = rows.join(repeated, rows["page_id"].eqNullSafe(repeated["page_id"]) & (rows["digest"] == repeated["digest"]), "left").select(rows["*"], "head", "single")
+        known = known.withColumn("again", F.col("head").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head")))
+        return known.withColumns({x: F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")) for x in ("own", "own_request", "own_metadata")})
+
     # What others refer to has an id that they can tell: the one response of a payload, if it is only one.
     named = F.when(F.col("single"), _urn(F.lit("response"), F.col("head").cast("string"), F.col("digest")))
     own = F.when(~F.col("again"), F.coalesce(named, "own")).otherwise(F.col("own"))
@@ -84,7 +87,7 @@ def write_warc(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM) ->
     metadata = _record("metadata", F.col("own_metadata"), notes, "application/warc-fields", target, ("WARC-Concurrent-To", own))
     for (least, captures), (above, _) in zip(CLASSES, [*CLASSES[1:], (None, None)]):
         if least <= most:
-            some = known.filter((F.col("bytes") >= least) & (F.col("bytes") < above if above else F.lit(True)))
+            some = told(rows.filter((F.col("bytes") >= least) & (F.col("bytes") < above if above else F.lit(True))))
             records = some.select(F.explode(F.array(request, response, metadata)).alias("value"))
             records.write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * captures).text(path)
     drop(digests)
