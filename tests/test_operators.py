@@ -249,3 +249,20 @@ def test_places_of_strings(text, wanted):
 def test_prompts_carry_terms(spark):
     rows = base.QUERIES["prompt_render"](spark, SMALL).collect()
     assert any("Terms: none" not in r["prompt"] for r in rows)
+
+
+def test_check_terms_finds_all_that_its_patterns_do(spark):
+    """Candidates by tokens lose none of the pairs that a comparison of all chunks with all terms locates."""
+    from tidemark.functions import text as tx
+
+    names = ["bus", "water bus", "C++", "iron-ingot", "WaterColumn", "水柱", "µm", "№ 5", "of", "café", "don't", "B-3", "++", "a/b", "3", "straße", "STEEL", "\u2010", "éclair"]
+    texts = ["two buses of iron ingot", "Water-Bus C++ cafés", "the waterbus; a watercolumn", "一个水柱 steel", "5 Μm and μm, № 5!", "DON'T b3 B 3", "x++y a b", None, "", "ſteel STRASSE straße", "w a t e r c o l u m n", "13 33 3", "ÉCLAIRS caféb", "iron\u2010ingots", "s teelſ"]
+    terms = spark.createDataFrame([(i, n, "z") for i, n in enumerate(names)], "line long, en string, zh string")
+    src = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)] + [(2, 0, texts[0])], "doc_id long, chunk_no long, text string")
+    got = {(r["line"], r["doc_id"], r["chunk_no"]) for r in gl.check_terms(terms, src, src).collect() if r["status"] != "absent"}
+    forms = terms.select("line", F.explode(tx.term_forms(F.col("en"))).alias("form")).select("line", "form", tx.word_pattern(F.col("form")).alias("p"), tx.compact_pattern(F.col("form")).alias("q"), tx.compact(F.col("form")).alias("c"))
+    both = src.withColumn("compact", tx.compact(F.col("text"))).crossJoin(forms).filter("text rlike p or (not form rlike '[ -]' and c <> '' and compact rlike q)")
+    want = {(r["line"], r["doc_id"], r["chunk_no"]) for r in both.collect()}
+    assert got == want and len(want) > 15
+    plan = gl.check_terms(terms, src, src)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan

@@ -127,13 +127,51 @@ def scan_grams(rows: DataFrame, index: DataFrame, key: list[str], text: str = "t
     return _matches(both, F.concat(F.lit(OPEN), F.array_join("__terms", "|"), F.lit(CLOSE)), key).join(index, "term_key")
 
 
+def _ascii_runs(folded: Column, pattern: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(folded, F.lit(f"({pattern}+)"), 1))
+
+
+def _heads(folded: Column, others: str) -> Column:
+    """Characters by which forms without ASCII runs are found; case variants of one are equal."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(folded, F.lit(f"({others})"), 1), lambda x: F.lower(F.upper(x))))
+
+
+def _candidates(forms: DataFrame, texts: DataFrame) -> DataFrame:
+    """(__hash, line): terms that a text may hold, by a token of one of their forms: the rarest run of ASCII letters
+    and digits (of letters where spaces are left out), else the first character. ``forms`` (line, form), ``texts``
+    (__hash, text, compact). A bounded form's runs are whole in the text but for a plural ending.
+    """
+    tight = forms.filter(~F.col("form").rlike("[ -]")).select("line", tx.compact(F.col("form")).alias("form"))
+    found = None
+    for side, column, run, others in ((forms, "text", "[a-z0-9]", "[^a-z0-9]"), (tight, "compact", "[a-z]", "[^a-z]")):
+        folded = _fold(F.col("form"))
+        runs = side.select("line", "form", F.explode(_ascii_runs(folded, run)).alias("word"))
+        known = _rarest(runs, ["line", "form"]).select("line", "word")
+        bare = side.filter(~folded.rlike(run) & (F.length("form") > 0)).select("line", F.element_at(_heads(folded, others), 1).alias("word"))
+        text = _fold(F.col(column))
+        tokens = _ascii_runs(text, run)
+        if column == "text":
+            tokens = F.array_distinct(F.concat(tokens, F.transform(tokens, lambda t: F.regexp_replace(t, "s$", "")), F.transform(tokens, lambda t: F.regexp_replace(t, "es$", ""))))
+        if bare.limit(1).count():
+            tokens = F.concat(tokens, _heads(text, others))
+        hits = texts.select("__hash", F.explode(tokens).alias("word")).join(known.union(bare), "word").select("__hash", "line")
+        found = hits if found is None else found.union(hits)
+    return found.distinct()
+
+
+def _rarest(runs: DataFrame, by: list[str], token: str = "word") -> DataFrame:
+    """(by..., token): of each form's tokens the one that the fewest rows have, so that common words join nothing."""
+    common = runs.groupBy(token).agg(F.count(F.lit(1)).alias("__n"))
+    return runs.join(common, token).groupBy(*by).agg(F.min_by(token, F.struct("__n", token)).alias(token))
+
+
 def longer_terms(terms: DataFrame) -> DataFrame:
     """(line, longer_line): terms a form of which stands as a word inside a form of another term.
 
-    The inverted index is on words: only terms that share a word are compared.
+    The inverted index is on words: a form meets only the terms that have its rarest word.
     """
     forms = terms.select("line", F.explode(tx.term_forms(F.col("en"))).alias("form"))
-    first = forms.withColumn("word", F.regexp_extract(F.lower("form"), r"([\p{L}\p{N}_]+)", 1))
+    first = _rarest(forms.select("line", "form", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("form"), F.lit(r"([\p{L}\p{N}_]+)"), 1))).alias("word")), ["line", "form"])
     other = forms.select(F.col("line").alias("longer_line"), F.col("form").alias("longer"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("form"), F.lit(r"([\p{L}\p{N}_]+)"), 1))).alias("token"))
     # The short form's last word may carry a plural ending, and so may a single-word form's first.
     bare = F.regexp_replace("token", "(?:es|s)$", "")
@@ -147,15 +185,17 @@ def check_terms(terms: DataFrame, source: DataFrame, target: DataFrame) -> DataF
 
     ``terms`` (line, en, zh), ``source``/``target`` (doc_id, chunk_no, text). A term is located by its forms as
     words, or by the text without spaces; where only a longer term holds it, it is covered; else its translation, or a
-    variant of it, must stand in the target chunk.
+    variant of it, must stand in the target chunk. Chunks meet only the terms that share a token with them, in an
+    equi join. A form of hyphens alone is located as a word only.
     """
     forms = terms.withColumn("forms", tx.term_forms(F.col("en"))).filter(F.size("forms") > 0)
-    chunks = source.withColumn("compact", tx.compact(F.col("text")))
-    # Terms are a bounded parameter table of one video; Spark broadcasts it by its size.
+    chunks = source.withColumn("compact", tx.compact(F.col("text"))).withColumn("__hash", F.xxhash64("text"))
     pattern = F.transform("forms", lambda f: tx.word_pattern(f))
-    tight = F.transform(F.filter("forms", lambda f: ~f.rlike("[ -]")), lambda f: tx.compact_pattern(f))
+    tight = F.transform(F.filter("forms", lambda f: ~f.rlike("[ -]") & (tx.compact(f) != "")), lambda f: tx.compact_pattern(f))
     keyed = forms.select("line", "zh", "forms", pattern.alias("pats"), tight.alias("tights"))
-    located = chunks.join(keyed, F.expr("exists(pats, p -> text rlike p) or exists(tights, p -> compact rlike p)"))
+    near = _candidates(forms.select("line", F.explode("forms").alias("form")), chunks.select("__hash", "text", "compact"))
+    both = chunks.join(near, "__hash").drop("__hash").join(keyed, "line")
+    located = both.filter(F.expr("exists(pats, p -> text rlike p) or exists(tights, p -> compact rlike p)"))
     longer = longer_terms(terms).join(forms.select(F.col("line").alias("longer_line"), F.col("forms").alias("longer_forms")), "longer_line").groupBy("line").agg(F.flatten(F.collect_list("longer_forms")).alias("covers"))
     located = located.join(longer, "line", "left")
     removed = F.expr("aggregate(array_sort(coalesce(covers, array()), (a, b) -> length(b) - length(a)), text, (t, f) -> regexp_replace(t, concat('(?iuU)\\\\b', regexp_replace(f, '([\\\\\\\\.\\\\[\\\\]{}()*+?^$|\\\\-])', '\\\\\\\\$1'), '(?:es|s)?\\\\b'), ' '))")

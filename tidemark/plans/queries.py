@@ -556,13 +556,13 @@ def priority_merge(spark, d):
     return cu.keep_first(g, ["k"], ["level_rank", "source_order", "row_no"]).select("k", "level", "path")
 
 
-_TERMS = "w as (select distinct split_part(p_name, ' ', 1) en from part union select distinct p_name from part), tm as (select row_number() over (order by en) line, en, 'z' || en zh from w)"
+_TERMS = "tm as (select min(l) line, en, 'z' || en zh from (select 2 * p_partkey l, split_part(p_name, ' ', 1) en from part union all select 2 * p_partkey + 1, p_name from part) group by en)"
 
 
 def _terms(spark, d):
     p = v.table(spark, d, "part")
-    t = p.select(F.substring_index("p_name", " ", 1).alias("en")).union(p.select("p_name")).distinct()
-    return t.withColumn("line", F.row_number().over(W.orderBy("en")).cast("bigint")).withColumn("zh", F.concat(F.lit("z"), "en"))
+    t = p.select((2 * F.col("p_partkey")).alias("l"), F.substring_index("p_name", " ", 1).alias("en")).union(p.select(2 * F.col("p_partkey") + 1, "p_name"))
+    return t.groupBy("en").agg(F.min("l").cast("bigint").alias("line")).select("line", "en", F.concat(F.lit("z"), "en").alias("zh"))
 
 
 @query(f"with {_TERMS} select a.line, b.line longer_line from tm a join tm b on a.line <> b.line and regexp_matches(lower(b.en), '\\b' || lower(a.en) || '(es|s)?\\b')")
