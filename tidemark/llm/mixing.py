@@ -76,7 +76,10 @@ def budgets(leaves: DataFrame, weights: dict, permille: int, epochs: int) -> Dat
             nodes = nodes.join(F.broadcast(total))  # one row
         else:
             nodes = nodes.join(given.withColumnRenamed("given", "budget"), parent)
-        given = fill(nodes, parent).select(*parent, level, "given")
+        # Written level by level: one plan of all levels' windows is re-planned whole after each of its stages.
+        above, given = given, table(fill(nodes, parent).select(*parent, level, "given"), "mix-given")
+        if above is not None:
+            drop(above)
     return given.join(leaves, LEVELS)
 
 

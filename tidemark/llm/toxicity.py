@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import held_out, sample
 from tidemark.llm.levenshtein import Lexicon
+from tidemark.llm.runtime import give_back
 from tidemark.llm.wordscan import scan, slices
 
 #: A seed list of English insults, words of reporting, words of address.
@@ -257,7 +258,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return Model(sample(docs, labels, "toxic"))
+    model = Model(sample(docs, labels, "toxic"))
+    give_back()
+    return model
 
 
 def _clean(model: Model, threshold: float) -> Callable:
