@@ -526,6 +526,26 @@ def test_star_misses_are_found(spark, monkeypatch):
     assert got == {i: u.find(i) for i in sets}
 
 
+def test_suspects_are_no_more_than_members(spark, monkeypatch):
+    """Texts that are all alike under the threshold, and copies of one text with the largest id."""
+    rng = np.random.default_rng(8)
+    alike, source = [[f"{c}{i}" for i in range(600)] for c in "ab"]
+    change = lambda words, i, k: [f"x{i}y{j}" if j in at else w for at in [set(rng.choice(len(words), k, False))] for j, w in enumerate(words)]
+    texts = [change(alike, i, 11) for i in range(150)] + [change(source, i + 150, 9) for i in range(40)] + [source]
+    rows, written = list(enumerate(map(" ".join, texts))), {}
+    monkeypatch.setattr(neardup, "table", lambda df, name, plain=neardup.table: written.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(neardup, "drop", lambda *tables: None)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets, u = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts], components.UnionFind()
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if 100 * (both := len(sets[i] & sets[j])) >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            u.union(i, j)
+    assert got == {i: u.find(i) for i in range(len(sets))} and len(set(got.values())) > 100
+    open_, suspects = (written[x] for x in ("dup-open", "dup-suspects"))
+    assert 1000 < suspects.count() <= open_.count()
+    assert open_.filter("id >= 150").count() == 0  # the star around the source has found all its copies
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components(spark, edges):

@@ -2,11 +2,13 @@
 
 1. Each document becomes its set of distinct 5-word shingles, a digest of the set, a signature of 128 slots and
    32 band hashes. Documents of one digest are one *class* from then on, so exact copies are never paired.
-2. In each band bucket every class is paired with the bucket's smallest one; pairs whose sizes or signatures
-   rule out the threshold go; the rest are confirmed on full sets, and components are formed.
+2. In each band bucket every class is paired with the one that meets most members over all its buckets, as the text
+   does that the others were copied from; pairs whose sizes or signatures rule out the threshold go; the rest are
+   confirmed on full sets, and components are formed.
 3. A star can miss links between its leaves. So in each bucket that still holds several components, members of
-   different components are compared by signature, in blocks; those that may link are gathered by the larger
-   component, in blocks again, and confirmed on full sets. No pair list is ever made: a block yields only links.
+   different components are compared by signature, in blocks; those that may link stay in their block, once each, and
+   are confirmed on full sets there, a pair in the least bucket that it shares. No pair list is ever made: a block
+   yields at most its own members, then links between components.
 
 A pair at the threshold shares none of its 32 bands with probability (1 - 0.75^4)^32 = 5e-6; the signature
 filter (``LEAST`` of 128 equal slots) lets a pair at the threshold go with at most 5e-6 (binomial), and the filter on one
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import UnionFind, components
 from tidemark.llm.runtime import drop, row_key, table
 from tidemark.llm.superminhash import SLOTS, bands, overlap, shingles, signatures
 from tidemark.llm.wordscan import scan, slices
@@ -41,7 +43,8 @@ LEAST, BITS = 74, 93
 BLOCK, BROADCAST = 2048, 1_000_000
 
 SIGNED = "id long, n long, digest binary, sig binary, bands array<long>"
-SETS = "id long, n long, sig binary, items binary"
+SETS = "id long, n long, sig binary, bands array<long>, items binary"
+FLAGGED = "key long, cell long, id long, comp long, outer boolean"
 
 
 def _fixed(values: np.ndarray, width: int) -> pa.Array:
@@ -50,15 +53,19 @@ def _fixed(values: np.ndarray, width: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
 
 
+def _lists(sig: np.ndarray) -> pa.Array:
+    """Band hashes of signatures as a list column."""
+    keys = bands(sig, ROWS).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.ravel()))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             items, bound = shingles(scan(part.column("text")), WIDTH)
             sig = signatures(items, bound)
-            keys = bands(sig, ROWS).view(np.int64)
             digests = [hashlib.blake2b(items[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bound)), pa.array(digests, pa.binary()), _fixed((sig & np.uint64(255)).astype(np.uint8), SLOTS), lists], names=["id", "n", "digest", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bound)), pa.array(digests, pa.binary()), _fixed((sig & np.uint64(255)).astype(np.uint8), SLOTS), _lists(sig)], names=["id", "n", "digest", "sig", "bands"])
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +74,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items, bound = shingles(scan(part.column("text")), WIDTH)
             sig = signatures(items, bound)
             blobs = [items[a:b].tobytes() for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bound)), _fixed((sig & np.uint64(255)).astype(np.uint8), SLOTS), pa.array(blobs, pa.binary())], names=["id", "n", "sig", "items"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bound)), _fixed((sig & np.uint64(255)).astype(np.uint8), SLOTS), _lists(sig), pa.array(blobs, pa.binary())], names=["id", "n", "sig", "bands", "items"])
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -100,13 +107,6 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _near(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of x the rows of y that sizes and signatures let pass."""
-    for i in range(len(x)):
-        at = np.flatnonzero(100 * np.minimum(ny, nx[i]) >= PERCENT * np.maximum(ny, nx[i]))
-        yield i, at[(y[at] == x[i]).sum(axis=1) >= LEAST]
-
-
 def _bits(sig: np.ndarray) -> np.ndarray:
     """The lowest bit of every slot, 64 to a word."""
     return np.packbits(sig & 1, axis=1).view(np.uint64)
@@ -177,15 +177,41 @@ def _compared(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1] == 1), pa.array(out[:, 2])], names=["comp", "outer", "id"])
 
 
+def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of cells that are suspects, each once: never more than came in, however many components they meet."""
+    kept: list[pa.RecordBatch] = []
+    start = 0  # number of the first row kept
+
+    def numbered() -> Iterator[pa.RecordBatch]:
+        upto = 0
+        for batch in batches:
+            if batch.num_rows:
+                kept.append(batch.select(["key", "cell", "id", "comp", "outer"]))
+                numbers = pa.array(np.arange(upto, upto + batch.num_rows))
+                upto += batch.num_rows
+                yield batch.set_column(batch.schema.get_field_index("id"), "id", numbers)
+
+    for found in _suspects(numbered()):
+        rows = pa.Table.from_batches(kept)
+        yield from rows.take(np.unique(found.column("id")) - start).to_batches()
+        start += rows.num_rows - kept[-1].num_rows
+        del kept[:-1]  # the last cell of the last batch may go on
+
+
 def _links(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Confirmed links between the members and the guests of one block of a component, one for each guest."""
-    home, guest = pdf[~pdf["outer"]].reset_index(drop=True), pdf[pdf["outer"]].reset_index(drop=True)
-    out = []
-    if len(home) and len(guest):
-        for i, near in _near(_matrix(guest["sig"]), guest["n"].to_numpy(), _matrix(home["sig"]), home["n"].to_numpy()):
-            j = next((j for j in near.tolist() if home["id"][j] != guest["id"][i] and linked(guest["items"][i], home["items"][j])), None)
-            if j is not None:
-                out.append((guest["id"][i], home["id"][j]))
+    """Confirmed links between the components of one cell, no more than join them. A pair is judged in the least of the
+    buckets that it shares."""
+    pdf = pdf.sort_values(["key", "id"], ignore_index=True)
+    key, ids, comp, outer, n, items = (pdf[x].to_numpy() for x in ("key", "id", "comp", "outer", "n", "items"))
+    keys, most = np.stack(pdf["bands"]), np.iinfo(np.int64).max
+    sets, out = UnionFind(), []
+    for i, j in _pairs(key, outer, comp, n, _matrix(pdf["sig"])):
+        own = (~outer[j] | (i < j)) & (np.where(keys[i] == keys[j], keys[i], most).min(axis=1, initial=most) == key[i])
+        for a, b in zip(i[own].tolist(), j[own].tolist()):
+            x, y = int(comp[a]), int(comp[b])
+            if sets.find(x) != sets.find(y) and linked(items[a], items[b]):
+                sets.union(x, y)
+                out.append((ids[a], ids[b]))
     return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
@@ -204,10 +230,12 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     classes = signed.filter("n > 0 and id is not null").groupBy("digest").agg(F.min(F.struct("id", "n", "sig", "bands")).alias("x"))
     classes = table(classes.select("digest", "x.*"), "dup-classes")
     rows = classes.select("id", F.posexplode("bands").alias("band", "key")).select("id", "key")
-    sizes = rows.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = table(rows.join(sizes, "key"), "dup-members")
     # Stars.
-    pairs = members.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    met = members.groupBy("id").agg(F.sum("members").alias("met"))
+    firsts = members.join(met, "id").groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("m")))["m"].alias("m")).select("key", (-F.col("m")).alias("first"))
+    pairs = members.join(firsts, "key").filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
     slim = classes.select("id", "n", "sig")
     pairs = pairs.join(slim.withColumnsRenamed({"id": "a", "n": "na", "sig": "sa"}), "a").join(slim.withColumnsRenamed({"id": "b", "n": "nb", "sig": "sb"}), "b")
     pairs = table(pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_plausible, "a long, b long"), "dup-pairs")
@@ -218,7 +246,6 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     homes = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
     open_ = homes.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     homes = table(homes.join(open_, "key"), "dup-open")
-    size = roots.groupBy(F.col("root").alias("comp")).agg((F.count(F.lit(1)) + 1).alias("size"))
     parts = homes.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     most = parts.groupBy("key").agg(F.max(F.struct("c", (-F.col("comp")).alias("m"))).alias("x"), F.sum("c").alias("all"))
     most = most.select("key", (-F.col("x.m")).alias("main"), F.ceil(F.col("x.c") / BLOCK).alias("home_blocks"), F.ceil((F.col("all") - F.col("x.c")) / BLOCK).alias("outer_blocks"))
@@ -231,17 +258,13 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     to_home = F.transform(F.sequence(F.lit(0), F.col("home_blocks") - 1), lambda i: F.struct(F.lit("h").alias("kind"), i.cast("long").alias("x"), F.col("own").cast("long").alias("y")))
     to_outer = F.transform(F.filter(F.sequence(F.lit(0), F.col("outer_blocks") - 1), lambda j: j != F.col("own")), lambda j: F.struct(F.lit("o").alias("kind"), F.least(j, F.col("own")).cast("long").alias("x"), F.greatest(j, F.col("own")).cast("long").alias("y")))
     blocks = blocks.withColumn("cell", F.explode(cells.otherwise(F.concat(to_home, to_outer))))
-    blocks = blocks.join(size, "comp", "left").join(slim, "id")
-    # Cells that hash alike are compared too, which does no harm.
-    blocks = blocks.select(F.xxhash64("key", "cell").alias("cell"), "id", "comp", F.coalesce("size", F.lit(1)).cast("long").alias("size"), "outer", "n", "sig")
+    blocks = blocks.join(slim, "id")
+    # Cells that hash alike are compared too, which does no harm. Which of two components is the larger is of no account.
+    blocks = blocks.select("key", F.xxhash64("key", "cell").alias("cell"), "id", "comp", F.lit(1).cast("long").alias("size"), "outer", "n", "sig")
     blocks = blocks.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell").sortWithinPartitions("cell")
-    suspects = table(blocks.mapInArrow(_suspects, "comp long, outer boolean, id long").distinct(), "dup-suspects")
-    # Blocks of a component: members against guests.
-    n = suspects.groupBy("comp").agg(F.ceil(F.count_if("outer") / 256).alias("guests"), F.ceil(F.count_if(~F.col("outer")) / BLOCK).alias("homes"))
-    units = suspects.join(n, "comp").withColumn("hash", F.xxhash64("id"))
-    units = units.withColumn("unit", F.explode(F.when(F.col("outer"), F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda i: F.struct(i.cast("long").alias("x"), F.pmod("hash", "guests").cast("long").alias("y")))).otherwise(F.transform(F.sequence(F.lit(0), F.col("guests") - 1), lambda j: F.struct(F.pmod("hash", "homes").cast("long").alias("x"), j.cast("long").alias("y"))))))
+    suspects = table(blocks.mapInArrow(_flagged, FLAGGED), "dup-suspects")
     more_sets = _sets(texts, suspects.select("id").distinct())
-    more = units.select("comp", "unit", "outer", "id").join(more_sets, "id").groupBy("comp", "unit").applyInPandas(_links, "a long, b long")
+    more = suspects.join(more_sets, "id").groupBy("cell").applyInPandas(_links, "a long, b long")
     more = table(more, "dup-more")
     if more.limit(1).count():
         roots = components(links.union(more))
