@@ -399,6 +399,21 @@ def test_recall_against_all_places(spark):
     assert len(got - truth) <= 0.02 * len(got)  # places between those of the brute force
 
 
+def test_shared_words_of_long_texts():
+    """Words shared with items in every cell, in a text of more of them than 16 bits count."""
+    rng = np.random.default_rng(2)
+    item, text = [f"w{i}" for i in range(40)], rng.integers(0, 50, 90_000)
+    bench = decontaminate.Bench([(1, " ".join(item), None)], np.zeros((decontaminate.BUCKETS + 1, 4), np.float32))
+    words = wordscan.scan(pa.array([" ".join(f"w{i}" for i in text)]))
+    hashes = words.hashes(lower=True)
+    place = np.minimum(np.searchsorted(bench.vocabulary, hashes), 39)
+    sums, first = bench.shared(np.where(bench.vocabulary[place] == hashes, place, 40).astype(np.int32), words)
+    held = np.concatenate([[0], np.cumsum((text < 40).reshape(-1, decontaminate.CELL).sum(axis=1))])
+    for lo in range(0, len(held) - 9, 7):
+        assert (sums[lo + 9] - sums[lo])[0] == held[lo + 9] - held[lo]
+    assert held[-1] > 1 << 16 and first.tolist() == [0, len(text) // decontaminate.CELL]
+
+
 def test_later_place_counts_on_its_own(spark):
     """A decoy of more words without the answer does not hide a place with it, and items of few words are found."""
     item = [f"q{i}" for i in range(20)]
