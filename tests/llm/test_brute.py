@@ -399,6 +399,13 @@ def test_recall_against_all_places(spark):
     assert len(got - truth) <= 0.02 * len(got)  # places between those of the brute force
 
 
+def test_recall_of_a_sampled_fit(spark, monkeypatch):
+    """As before, with the latent space fitted on an eighth of the passages; all of them are searched."""
+    words = decontaminate.inverse_frequencies(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))[1]
+    monkeypatch.setattr(decontaminate, "SAMPLE", words // decontaminate.PASSAGE // 8)
+    test_recall_against_all_places(spark)
+
+
 def test_shared_words_of_long_texts():
     """Words shared with items in every cell, in a text of more of them than 16 bits count."""
     rng = np.random.default_rng(2)
