@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -531,6 +532,29 @@ def test_signature_is_of_a_permutation():
     assert sorted((s >> np.uint64(48)).tolist()) == list(range(superminhash.SLOTS))
 
 
+@pytest.mark.parametrize("sign", [neardup._sign, neardup._gather])
+def test_signing_holds_a_small_part_of_a_batch(sign, monkeypatch):
+    # 8 MB of texts of 1 to 1000 words: in parts of 8 MB it took 8.2 times the batch.
+    rng = np.random.default_rng(4)
+    words = np.array([f"word{i}" for i in range(5000)])
+    rows = [" ".join(words[rng.integers(0, 5000, n)]) for n in rng.integers(1, 1000, 1850)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array(rows)], names=["id", "text"])
+    size = sum(map(len, rows))
+    assert size > 7 << 20
+    list(sign(iter([batch.slice(0, 300)])))  # tables that stay
+    tracemalloc.start()
+    try:
+        for _ in sign(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * size
+    got = pa.Table.from_batches(sign(iter([batch])))
+    monkeypatch.setattr(neardup, "PART", 1 << 30)
+    assert got.equals(pa.Table.from_batches(sign(iter([batch]))))
+
+
 def test_pairs_of_cells():
     """Against comparing row by row, over cells that end anywhere in a batch."""
     rng = np.random.default_rng(5)

@@ -39,6 +39,8 @@ WIDTH, PERCENT, ROWS = 5, 75, 4
 #: Equal slots of 128 under which a pair at 0.75 (96 expected, deviation at most 4.9) need not be looked at, and equal
 #: lowest bits of slots (112 expected, deviation 3.7).
 LEAST, BITS = 74, 93
+#: Bytes of text that are signed at once: the arrays of words and shingles take some 13 times as much.
+PART = 2 << 20
 #: Members of one block of a bucket; ids that a broadcast filter may hold.
 BLOCK, BROADCAST = 2048, 1_000_000
 
@@ -61,7 +63,7 @@ def _lists(sig: np.ndarray) -> pa.Array:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=PART):
             items, bound = shingles(scan(part.column("text")), WIDTH)
             sig = signatures(items, bound)
             digests = [hashlib.blake2b(items[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
@@ -70,7 +72,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=PART):
             items, bound = shingles(scan(part.column("text")), WIDTH)
             sig = signatures(items, bound)
             blobs = [items[a:b].tobytes() for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
