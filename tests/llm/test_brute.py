@@ -509,6 +509,30 @@ def test_levels_of_combining(spark, monkeypatch):
     assert len(out) == 16 and max(r["s"] for r in out) - min(r["s"] for r in out) < 0.05 * sum(r["s"] for r in out)
 
 
+def test_sharding_writes_few_files(spark, monkeypatch):
+    """Files follow the input, the blocks and the buckets of shards, not the number of shuffle partitions."""
+    files = []
+
+    def counted(df, name, write=sharding.table):
+        out = write(df, name)
+        files.append(sum(f.rsplit("/", 1)[1].startswith("part-") for f in out.inputFiles()))
+        return out
+
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    monkeypatch.setattr(sharding, "table", counted)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = sharding.shard(spark.read.parquet(f"{SMALL}/documents.parquet").coalesce(1), 4).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(files) <= 16
+    for s in range(4):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+
+
 # Near duplicates.
 
 

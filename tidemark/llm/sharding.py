@@ -103,10 +103,9 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), F.unhex(F.sha2(text, 256)).alias("digest"))
     rows = table(rows, "shard-rows")
-    groups = table(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "shard-groups")
-    blocks = max(1, -(-groups.count() // BLOCK))
-    n_rows = rows.count()
-    dealt = groups.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)))
+    n_rows, n_groups = rows.agg(F.count(F.lit(1)), F.count_distinct("digest")).first()
+    blocks = max(1, -(-n_groups // BLOCK))
+    dealt = rows.groupBy("digest").agg(F.sum("size").alias("bytes")).withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)))
     dealt = table(dealt.groupBy("block").applyInPandas(_block(shards), "block long, digest binary, bytes long, part int"), "shard-parts")
     sums = dealt.groupBy("block", "part").agg(F.sum("bytes").alias("bytes"))
     place = None
@@ -123,13 +122,15 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         sums = level.groupBy(F.col("up").alias("block"), F.col("to").alias("part")).agg(F.sum("bytes").alias("bytes"))
     homes = dealt.join(place.withColumnsRenamed({"leaf": "block", "leaf_part": "part"}), ["block", "part"]).select("digest", F.col("to").alias("shard"))
     buckets = max(1, -(-n_rows // (SLOTS * shards)))
-    placed = table(rows.join(homes, "digest").withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")), "shard-placed")
+    within = W.partitionBy("shard", "bucket").orderBy("id", "digest")
+    placed = rows.join(homes, "digest").withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    # written once slots are known: a file for each bucket of a shard, not for each partition of the join
+    placed = table(placed.withColumn("slot", F.row_number().over(within) - 1).select("id", "size", "crc", "shard", "bucket", "slot"), "shard-placed")
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = W.partitionBy("shard", "bucket").orderBy("id", "digest")
-    out = placed.withColumn("slot", F.row_number().over(within) - 1).join(offsets, ["shard", "bucket"])
+    out = placed.join(F.broadcast(offsets), ["shard", "bucket"])
     out = out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard", (F.col("slot") + F.col("before")).cast("long").alias("slot"))
-    drop(rows, groups)
+    drop(rows)
     if keep:
         slots = out.select(F.col(id_col).alias("__id"), F.struct("size", "text_crc32", "shard", "slot").alias("__shard")).withColumn("__n", F.row_number().over(W.partitionBy("__id").orderBy("__shard.text_crc32", "__shard.size", "__shard.slot")))
         held = docs.select(F.col(id_col).alias("__doc"), F.struct(*docs.columns).alias("__row"), F.row_number().over(W.partitionBy(id_col).orderBy(F.crc32(text), F.octet_length(text))).alias("__m"))
