@@ -155,6 +155,27 @@ def test_substring_small_vocabulary(spark):
         assert got[i] == (len(w) - sum(keep), hashlib.sha256(kept.encode()).hexdigest())
 
 
+@pytest.mark.parametrize("find", [substring._index, substring._windows])
+def test_substring_hashes_in_parts(find, monkeypatch):
+    """Rows of a slice do not depend on the parts in which it is hashed, and parts bound the memory that it takes."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{x}" for x in rng.integers(0, 1000, n)) for n in rng.integers(0, 2000, 800)]
+    texts += ["", None, "too short", *texts[:50], *[t[:2000] for t in texts[50:100]]]
+    spans = [[a * substring.PACK + substring.WINDOW + 3 for a in range(0, len((t or "").split()) - 23, 40)] for t in texts]
+    columns = pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array(spans, pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays(list(columns), names=["doc", "dig", "text", "spans"])
+    assert 6 << 20 < sum(len(t or "") for t in texts) < 8 << 20  # one slice
+    in_parts = pa.Table.from_batches(find(iter([batch]))).to_pydict()
+    tracemalloc.start()
+    for _ in find(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 << 20
+    monkeypatch.setattr(substring, "PART", 8 << 20)
+    assert pa.Table.from_batches(find(iter([batch]))).to_pydict() == in_parts and len(in_parts["key"]) > 50_000
+
+
 def test_factors_are_copies(spark):
     """Each factor's words stand in its reference, earlier, and no factor could have gone on there."""
     rng = np.random.default_rng(8)

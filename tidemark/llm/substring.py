@@ -38,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import drop, table
-from tidemark.llm.wordscan import U64, mix, scan, slices, windows
+from tidemark.llm.wordscan import U64, Words, mix, scan, slices, windows
 
 WINDOW, GRAM = 20, 8
 _BASES = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: A span is packed as start * 64 + words; a block has at most 32 words.
 PACK = 64
+#: Bytes of text that are hashed at once, which takes many times as much memory; and rows sent to Spark at once.
+PART, SENT = 2 << 20, 1 << 16
 NO_ID = -(1 << 63)
 
 
@@ -113,8 +115,9 @@ def _rows(part: pa.RecordBatch, own: np.ndarray, key: np.ndarray, block: np.ndar
     start = span // PACK
     later = (rank[own] != rank[own[head]]) | (start != start[head])
     for kind, rows in ((0, new), (1, later)):
-        rows = np.flatnonzero(rows)
-        if len(rows):
+        whole = np.flatnonzero(rows)
+        for a in range(0, len(whole), SENT):
+            rows = whole[a : a + SENT]
             none = np.zeros(len(rows), np.int64)
             hashed = (key[rows], block[rows]) if kind == 0 else (none, none)
             ref = (none, none) if kind == 0 else (doc[own[head[rows]]], start[head[rows]])
@@ -125,35 +128,47 @@ ROWS = "kind int, key long, block long, doc long, dig long, span long, ref_doc l
 COPIES = "kind int, doc long, dig long, span long, ref_doc long, ref_start long"
 
 
+def _sent(batches: Iterator[pa.RecordBatch], find: Callable) -> Iterator[pa.RecordBatch]:
+    """The rows of whole slices, each searched in parts of ``PART`` bytes."""
+    for batch in batches:
+        for whole in slices(batch):
+            found, row = [], 0
+            for part in slices(whole, most=PART):
+                own, *columns = find(part, scan(part.column("text")))
+                found.append((own + row, *columns))
+                row += part.num_rows
+            yield from _rows(whole, *map(np.concatenate, zip(*found)))
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of every document."""
-    for batch in batches:
-        for part in slices(batch):
-            words = scan(part.column("text"))
-            hashes, doc = words.hashes(), words.doc()
-            anchor, lo, hi = _blocks(hashes, doc)
-            if len(anchor):
-                grams = windows(hashes, GRAM)
-                block = mix(Ranges(hashes)(lo, hi + WINDOW) + (anchor - lo).astype(U64))
-                own = doc[lo]
-                yield from _rows(part, own, grams[anchor], block, (lo - words.first[own]) * PACK + hi - lo + WINDOW)
+
+    def find(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, ...]:
+        hashes, doc = words.hashes(), words.doc()
+        anchor, lo, hi = _blocks(hashes, doc)
+        grams = windows(hashes, GRAM)
+        block = mix(Ranges(hashes)(lo, hi + WINDOW) + (anchor - lo).astype(U64))
+        own = doc[lo]
+        return own, grams[anchor], block, (lo - words.first[own]) * PACK + hi - lo + WINDOW
+
+    return _sent(batches, find)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The single windows of given blocks, keyed by two hashes."""
-    for batch in batches:
-        for part in slices(batch):
-            words = scan(part.column("text"))
-            spans = part.column("spans")
-            counts = np.diff(np.asarray(spans.offsets))
-            packed = np.asarray(spans.flatten())
-            own = np.repeat(np.arange(part.num_rows), counts)
-            start, extra = packed // PACK, packed % PACK - WINDOW + 1
-            step = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra)
-            own, start = np.repeat(own, extra), np.repeat(start, extra) + step
-            if len(own):
-                at, hashes = words.first[own] + start, words.hashes()
-                yield from _rows(part, own, *(Ranges(hashes, base)(at, at + WINDOW) for base in _BASES), start * PACK + WINDOW)
+
+    def find(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, ...]:
+        spans = part.column("spans")
+        counts = np.diff(np.asarray(spans.offsets))
+        packed = np.asarray(spans.flatten())
+        own = np.repeat(np.arange(part.num_rows), counts)
+        start, extra = packed // PACK, packed % PACK - WINDOW + 1
+        step = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra)
+        own, start = np.repeat(own, extra), np.repeat(start, extra) + step
+        at, hashes = words.first[own] + start, words.hashes()
+        return own, *(Ranges(hashes, base)(at, at + WINDOW) for base in _BASES), start * PACK + WINDOW
+
+    return _sent(batches, find)
 
 
 def _parse(edges: bool) -> Callable:
@@ -212,8 +227,8 @@ def _found(kind: int, doc: np.ndarray, dig: np.ndarray, span: np.ndarray, *ref:
 
 def _walk(rows: DataFrame, edges: bool, name: str) -> DataFrame:
     dealt = rows.filter("kind = 0").select("key", "block", "doc", "dig", "span")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartitionByRange(parts, "key", "block").sortWithinPartitions("key", "block", "doc", "dig", "span")
+    # Without a number, so that Spark may merge small ranges, which gives fewer files.
+    dealt = dealt.repartitionByRange("key", "block").sortWithinPartitions("key", "block", "doc", "dig", "span")
     return table(dealt.mapInArrow(_parse(edges), COPIES), name)
 
 
@@ -252,7 +267,7 @@ def factors(own: np.ndarray, start: np.ndarray, size: np.ndarray, ref: np.ndarra
 def _cut(kept_text: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=PART):
                 copies = part.column("copies")
                 counts = np.diff(np.asarray(copies.offsets))
                 flat = copies.flatten()
