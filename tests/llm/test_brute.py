@@ -6,6 +6,7 @@ import math
 import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -462,6 +463,51 @@ def test_shared_words_of_long_texts():
     assert held[-1] > 1 << 16 and first.tolist() == [0, len(text) // decontaminate.CELL]
 
 
+def test_search_in_small_parts(monkeypatch):
+    """Passages are compared in parts that stay in a processor's cache, and rows do not depend on the parts."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(0, 1500, 450)]
+    items = [(i, " ".join(texts[7 * i].split()[20 : 20 + 12 + i]), None) for i in range(60) if len(texts[7 * i].split()) > 100]
+    vectors = np.vstack([rng.normal(size=(decontaminate.BUCKETS, 64)), np.zeros((1, 64))]).astype(np.float32)
+    bench = decontaminate.Bench(items, vectors)
+    search = decontaminate._search(SimpleNamespace(value=vectors), [SimpleNamespace(value=bench)], sorted(bench.passages))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    assert 1_500_000 < sum(map(len, texts)) < 2 << 20
+
+    def found():
+        return sorted((r["id"], r["item_id"], r["lcs"], r["at"], round(r["cosine"], 4)) for b in search(iter([batch])) for r in b.to_pylist())
+
+    small = found()
+    tracemalloc.start()
+    assert found() == small and {(7 * i, i, n) for i, t, _ in items for n in [len(t.split())]} <= {r[:3] for r in small}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    monkeypatch.setattr(decontaminate, "PART", 2 << 20)
+    assert found() == small
+
+
+def test_places_in_the_vocabulary():
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 9000):
+        bench = decontaminate.Bench([(1, " ".join(f"w{i}" for i in range(n)), None)], np.zeros((decontaminate.BUCKETS + 1, 4), np.float32))
+        other = rng.integers(0, 1 << 64, 5000, np.uint64)
+        near = np.concatenate([bench.vocabulary - np.uint64(1), bench.vocabulary + np.uint64(1)])
+        hashes = np.concatenate([bench.vocabulary, near, other, np.array([0, (1 << 64) - 1], np.uint64)])
+        where = {h: i for i, h in enumerate(bench.vocabulary.tolist())}
+        assert bench.known(hashes).tolist() == [where.get(h, n) for h in hashes.tolist()]
+    assert bench.depth > 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 200, 1000])
+def test_running_sums(n):
+    rows = np.random.default_rng(n).integers(0, 1 << 16, (n, 7)).astype(np.uint16)
+    want = np.cumsum(rows, axis=0, dtype=np.uint16)
+    decontaminate._add_down(rows)
+    assert (rows == want).all()
+
+
 def test_later_place_counts_on_its_own(spark):
     """A decoy of more words without the answer does not hide a place with it, and items of few words are found."""
     item = [f"q{i}" for i in range(20)]
