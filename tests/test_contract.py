@@ -55,3 +55,10 @@ def test_without_llm(tmp_path):
     (tmp_path / "repo/corpus_pipeline.py").unlink(missing_ok=True)
     code = "import __spark_entry__ as e; assert 'text_width' in e.queries() and 'pipeline' not in e.queries() and not any(k.startswith('op') for k in e.oracle_sql())"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, env={**os.environ, "PYTHONPATH": str(tmp_path / "repo")})
+
+
+@pytest.mark.parametrize("name,scans", [("plan_units", 2), ("sentence_split", 1), ("sentence_split_zh", 1)])
+def test_sentences_are_made_once(spark, name, scans):
+    """What is exploded was made twice, once for a filter on its size that Spark infers."""
+    plan = base.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == scans and "Filter (" not in plan

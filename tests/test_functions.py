@@ -1,5 +1,8 @@
 """Golden cases worked out by hand, and properties against plain Python."""
 
+import re
+import time
+
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -7,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import packing as pk
+from tidemark.functions import scans
 from tidemark.functions import text as tx
 from tidemark.functions import timing as tm
 from tidemark.operators.timeline import snap
@@ -107,3 +111,27 @@ def test_pandas_functions(spark):
     row = df.select(pk.greedy_pack("s", F.lit(5)).alias("g"), pk.split_zh_udf("z").alias("z"), pk.apportion_words(F.lit("a b c"), F.array(F.lit(1.0), F.lit(2.0))).alias("w")).first()
     assert row["g"] == ["aa bb", "cc"] and row["z"] == ["一。", "二"] and row["w"] == ["a", "b c"]
     assert pd.Series(row["g"]).size == 2
+
+
+def test_split_levels_cuts_at_marks_only(spark):
+    """A lambda's second parameter is the place in the array: the marks were lost, and letters of their column's name cut words."""
+    text = "This is a longer sentence with some more words in it，and another piece of the same long one、with a third"
+    want = ["This is a longer sentence with some more words in it，", "and another piece of the same long one、with a third"]
+    assert one(spark, text, tx.split_levels) == want
+    assert pk.plan(text, [(m, re.compile(f"(?<=[{m}])")) for m in ("，；：", "、", "—")]) == (want, "err")
+
+
+def test_sentences_zh_of_a_long_text_without_marks(spark):
+    text = "字" * 300_000  # quadratic before: every place was searched to the end
+    began = time.monotonic()
+    assert one(spark, "好。" + text, tx.sentences_zh) == ["好。", text] and time.monotonic() - began < 60
+
+
+def test_scans_agree_with_the_patterns(spark):
+    texts = ["İKK ß Éa'b", "a\x1cb \x85c. d", " x!　y", "", None, "é.  F?! g", "a\x0b\x0cb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    marked = F.regexp_replace(tx.collapse(t), r"([.!?]+)( |$)", "$1\n")
+    pairs = [(tx.norm(t), scans.norm(t)), (tx.norm_ascii(t), scans.norm_ascii(t)), (F.filter(F.split(marked, "\n"), lambda s: s != ""), tx.sentences_en(t))]
+    for old, new in pairs:
+        assert df.filter(~old.eqNullSafe(new)).count() == 0

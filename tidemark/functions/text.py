@@ -1,4 +1,5 @@
-"""String functions on columns. All are built-in expressions, so they stay inside code generation.
+"""String functions on columns. All but the sentences are built-in expressions, so they stay inside code generation;
+scans of whole texts that Java's patterns are slow at are in ``scans``.
 
 Patterns carry ``(?U)`` where white space or word characters of all scripts are meant: Java's classes are
 ASCII by default.
@@ -6,11 +7,11 @@ ASCII by default.
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions import scans
+
 # Patterns of the marks of sentences that a chunk border cut and of text outside speech, English
 # abbreviations that end in a stop, and the ranges of full-width characters and of Chinese ideographs.
 STITCH = "(?s)【延伸句】.*?[.?!。]|【承接句】.*?(?:[.?!。]|(?=\\n)|$)"
@@ -79,18 +80,7 @@ def width_flag(width: Column, soft: float = 22, hard: float = 26) -> Column:
     return F.when(width > hard, "ERROR").when(width > soft, "WARN").otherwise("ok")
 
 
-def _folds() -> tuple[str, str]:
-    """Latin letters with marks and the letters left of them, by Unicode decomposition."""
-    pairs = []
-    for code in range(0x00C0, 0x0250):
-        ch = chr(code)
-        base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x)).lower()
-        if len(base) == 1 and base.isascii() and base != ch:
-            pairs.append((ch, base))
-    return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
-
-
-FOLD_FROM, FOLD_TO = _folds()
+FOLD_FROM, FOLD_TO = scans.folds()
 
 
 def norm(c: Column) -> Column:
@@ -122,16 +112,12 @@ def words(c: Column) -> Column:
 
 def sentences_en(c: Column) -> Column:
     """Sentences of collapsed text: a boundary follows [.!?]+ before a space or the end."""
-    marked = F.regexp_replace(collapse(c), r"([.!?]+)( |$)", "$1\n")
-    return F.filter(F.transform(F.split(marked, "\n"), strip), lambda s: s != "")
+    return scans.sentences_en(c)
 
 
 def sentences_zh(c: Column) -> Column:
     """Sentences up to one of 。？！ each; the second of doubled marks is a piece of its own."""
-    text = collapse(c)
-    parts = F.regexp_extract_all(text, F.lit("[^。？！]*[。？！]"), 0)
-    rest = F.regexp_replace(text, "[^。？！]*[。？！]", "")
-    return F.filter(F.transform(F.concat(parts, F.array(rest)), strip), lambda s: s != "")
+    return scans.sentences_zh(c)
 
 
 def sentences_subtitle(c: Column) -> Column:
@@ -159,9 +145,13 @@ def split_by_punct(c: Column, marks: str) -> Column:
 
 def split_levels(c: Column, levels: tuple[str, ...] = ("，；：", "、", "—"), hard: float = 26) -> Column:
     """Cut by each level's marks where a piece is wider than ``hard``; levels are fixed, so no recursion."""
+
+    def cut(marks: str):  # a lambda's second parameter would be the place in the array
+        return lambda s: F.when(text_width(s) <= hard, F.array(s)).otherwise(split_by_punct(s, marks))
+
     out = F.array(c)
     for marks in levels:
-        out = F.flatten(F.transform(out, lambda s, m=marks: F.when(text_width(s) <= hard, F.array(s)).otherwise(split_by_punct(s, m))))
+        out = F.flatten(F.transform(out, cut(marks)))
     return out
 
 

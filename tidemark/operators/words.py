@@ -57,16 +57,16 @@ def presplit(texts: DataFrame, lang: str = "en", text: str = "text") -> DataFram
 
 def plan_units(sentences: DataFrame, levels: tuple[str, ...] = ("，；：", "、", "—"), hard: float = 26, least: float = 5) -> DataFrame:
     """Display units of each sentence, with the plan's status: cut by marks level by level, then packed."""
-    pieces = tx.split_levels(F.col("sentence"), levels, hard)
-    units = pk.pack_units(pieces, F.lit(float(hard)), F.lit(float(least)))
-    return sentences.withColumn("units", units).withColumn("status", pk.unit_status("units", F.lit(float(hard)), F.lit(float(least))))
+    planned = sentences.withColumn("__plan", pk.plan_udf(levels, float(hard), float(least))("sentence"))
+    return planned.select(*sentences.columns, F.col("__plan.units").alias("units"), F.col("__plan.status").alias("status"))
 
 
 def render_plan(planned: DataFrame) -> DataFrame:
-    """The plan as text rows: relation 1:1 or 1:n and a number for each unit."""
+    """The plan as text rows: relation 1:1 or 1:n and a number for each unit. What is exploded is no bare column, as
+    Spark would infer a filter on the size of that and plan all sentences twice."""
     n = F.size("units")
     relation = F.when(n <= 1, "1:1").otherwise(F.concat(F.lit("1:"), n.cast("string")))
-    return planned.withColumn("relation", relation).select("*", F.posexplode("units").alias("unit_no", "unit")).withColumn("unit_no", F.col("unit_no") + 1).drop("units")
+    return planned.withColumn("relation", relation).select("*", F.posexplode(F.coalesce("units", F.array().cast("array<string>"))).alias("unit_no", "unit")).withColumn("unit_no", F.col("unit_no") + 1).drop("units")
 
 
 def chunk_text(texts: DataFrame, unit: str = "sentence", max_chars: int = 6000, text: str = "text") -> DataFrame:
@@ -77,7 +77,8 @@ def chunk_text(texts: DataFrame, unit: str = "sentence", max_chars: int = 6000,
     chinese = F.col("block").rlike(f"[{tx.HAN}]")
     atoms = F.when(chinese, tx.sentences_zh(F.col("block"))).otherwise(tx.sentences_en(F.col("block"))) if unit == "sentence" else F.array(tx.collapse(F.col("block")))
     rows = rows.select("doc_id", "gid", F.posexplode(atoms).alias("atom_no", "atom"))
-    rows = rows.withColumn("sentences", F.when(F.length("atom") > max_chars, F.when(F.col("atom").rlike(f"[{tx.HAN}]"), tx.sentences_zh(F.col("atom"))).otherwise(tx.sentences_en(F.col("atom")))))
+    long = F.when(F.length("atom") > max_chars, F.col("atom"))
+    rows = rows.withColumn("sentences", F.when(F.col("atom").rlike(f"[{tx.HAN}]"), tx.sentences_zh(long)).otherwise(tx.sentences_en(long)))
     short = rows.filter(F.length("atom") <= max_chars).withColumn("pieces", F.array("atom"))
     single = rows.filter((F.length("atom") > max_chars) & (F.size("sentences") <= 1)).withColumn("pieces", tx.hard_slices(F.col("atom"), max_chars))
     several = rows.filter((F.length("atom") > max_chars) & (F.size("sentences") > 1)).withColumn("pieces", pk.greedy_pack("sentences", F.lit(max_chars)))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.functions import scans
 from tidemark.functions import text as tx
 
 
@@ -41,11 +42,8 @@ SQL_COLLAPSE = r"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
 
 def doc_cues(spark: SparkSession, sf_dir: str, size: int = 8) -> DataFrame:
     """Documents in cues of ``size`` words."""
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
-    n = F.ceil(F.size("w") / size).cast("int")
-    parts = F.when(F.size("w") > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.slice("w", i * size + 1, F.lit(size)), " ")))
-    d = table(spark, sf_dir, "documents").select("doc_id", words.alias("w"))
-    return d.select("doc_id", F.posexplode(parts).alias("pos", "text")).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("idx"), "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(scans.word_lines(F.coalesce("text", F.lit("")), F.lit(size))).alias("pos", "text"))
+    return d.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("idx"), "text")
 
 
 DOC_CUES = r"""dw as (select doc_id, list_filter(regexp_split_to_array(coalesce(text,''), '\s+'), lambda x: x <> '') w from documents),
@@ -53,8 +51,9 @@ doc_cues as (select doc_id, cast(i + 1 as bigint) idx, array_to_string(list_slic
 
 
 def doc_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", tx.sentences_en(F.coalesce("text", F.lit(""))).alias("s"))
-    return d.select("doc_id", F.posexplode("s").alias("pos", "sentence")).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("seq"), "sentence")
+    # Of an array that is a column, Spark would infer a filter on its size and make it twice.
+    d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tx.sentences_en(F.coalesce("text", F.lit("")))).alias("pos", "sentence"))
+    return d.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("seq"), "sentence")
 
 
 DOC_SENTENCES = r"""ds as (select doc_id, list_filter(list_transform(string_split(regexp_replace(trim(regexp_replace(coalesce(text,''), '\s+', ' ', 'g')), '([.!?]+)( |$)', '\1' || chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') s from documents),
