@@ -62,3 +62,8 @@ def test_sentences_are_made_once(spark, name, scans):
     """What is exploded was made twice, once for a filter on its size that Spark infers."""
     plan = base.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == scans and "Filter (" not in plan
+
+
+def test_places_are_found_once(spark):
+    plan = base.QUERIES["anchor_sentences"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("translate(") == 0

@@ -266,3 +266,10 @@ def test_check_terms_finds_all_that_its_patterns_do(spark):
     assert got == want and len(want) > 15
     plan = gl.check_terms(terms, src, src)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_equal_places_stay_rows(spark):
+    places = spark.createDataFrame([(1, 1, 0, 3), (1, 1, 0, 3), (1, 2, None, None), (2, 1, 5, 6)], "doc_id long, seq long, pos long, pos_end long")
+    offsets = spark.createDataFrame([(1, 1, 0, 2), (1, 2, 2, 2), (1, 3, 2, 9)], "doc_id long, idx long, off_start long, off_end long")
+    rows = sorted(map(tuple, an.on_cues(places, offsets).collect()), key=repr)
+    assert rows == [(1, 1, 0, 3, 1, 3), (1, 1, 0, 3, 1, 3), (1, 2, None, None, None, None), (2, 1, 5, 6, None, None)]

@@ -7,33 +7,32 @@ and a sentence looks its beginning up among them. Only the offsets found meet th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.functions import text as tx
+from tidemark.functions import scans
 from tidemark.functions import timing as tm
 
 
-def cue_offsets(cues: DataFrame, normal=tx.norm) -> DataFrame:
+def cue_offsets(cues: DataFrame, normal=scans.norm) -> DataFrame:
     """(doc_id, idx, off_start, off_end) of every cue in its document's normalised text."""
     n = cues.select("doc_id", "idx", F.length(normal(F.col("text"))).cast("bigint").alias("n"))
     upto = F.sum("n").over(W.partitionBy("doc_id").orderBy("idx"))
     return n.select("doc_id", "idx", (upto - F.col("n")).alias("off_start"), upto.alias("off_end"))
 
 
-def full_text(cues: DataFrame, normal=tx.norm) -> DataFrame:
-    rows = cues.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("c"))
-    return rows.select("doc_id", F.array_join(F.transform("c", lambda x: normal(x["text"])), "").alias("full"))
+def full_text(cues: DataFrame, normal=scans.norm) -> DataFrame:
+    rows = cues.select("doc_id", "idx", normal(F.col("text")).alias("n")).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("c"))
+    return rows.select("doc_id", F.array_join("c.n", "").alias("full"))
 
 
-def locate(cues: DataFrame, sentences: DataFrame, normal=tx.norm) -> DataFrame:
+def locate(cues: DataFrame, sentences: DataFrame, normal=scans.norm) -> DataFrame:
     """(doc_id, seq, pos, pos_end, status): first place of each sentence, 0-based; 'non-unique' if there is a
     second, 'failed' if there is none or nothing is left of the sentence."""
     full = full_text(cues, normal)
@@ -97,16 +96,18 @@ def on_cues(places: DataFrame, offsets: DataFrame) -> DataFrame:
     """Adds the cues that hold a sentence's first and last character (cue_first, cue_last).
 
     Places and cue starts of one document are merged in order and the last cue start is carried forward: a
-    range join without one row compared with many.
+    range join without one row compared with many. Both characters of a place are points of one pass, in rows that carry
+    the place, so that places are made and sorted once.
     """
-
-    def held(column: str, name: str) -> DataFrame:
-        points = places.filter(F.col(column).isNotNull()).select("doc_id", F.col(column).alias("at"), F.lit(1).alias("kind"), "seq", F.lit(None).cast("bigint").alias("idx"))
-        starts = offsets.filter("off_end > off_start").select("doc_id", F.col("off_start").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("seq"), "idx")
-        w = W.partitionBy("doc_id").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
-        return points.unionByName(starts).withColumn(name, F.last("idx", ignorenulls=True).over(w)).filter("kind = 1").select("doc_id", "seq", name)
-
-    return places.join(held("pos", "cue_first"), ["doc_id", "seq"], "left").join(held("pos_end", "cue_last"), ["doc_id", "seq"], "left")
+    columns = places.columns
+    ends = F.explode(F.array(F.struct(F.col("pos").alias("at"), F.lit(0).alias("end")), F.struct(F.col("pos_end").alias("at"), F.lit(1).alias("end"))))
+    points = places.select("doc_id", F.struct(*columns).alias("place"), ends.alias("p")).select("doc_id", "p.at", F.lit(1).alias("kind"), "place", "p.end", F.lit(None).cast("bigint").alias("idx"))
+    starts = offsets.filter("off_end > off_start").select("doc_id", F.col("off_start").alias("at"), F.lit(0).alias("kind"), "idx")
+    w = W.partitionBy("doc_id").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+    held = points.unionByName(starts, allowMissingColumns=True).withColumn("held", F.when(F.col("at").isNotNull(), F.last("idx", ignorenulls=True).over(w))).filter("kind = 1")
+    both = held.groupBy("doc_id", "place").agg(F.max(F.when(F.col("end") == 0, F.col("held"))).alias("cue_first"), F.max(F.when(F.col("end") == 1, F.col("held"))).alias("cue_last"), F.count_if(F.col("end") == 0).cast("int").alias("copies"))
+    # Equal places are as many rows as before.
+    return both.select("place", "cue_first", "cue_last", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("place.*", "cue_first", "cue_last")
 
 
 def timed(anchors: DataFrame, cues: DataFrame) -> DataFrame:
@@ -164,42 +165,48 @@ def split_points(units: DataFrame, weight: str = "weight") -> DataFrame:
     return units.withColumn("at", at.cast("double")).withColumn("__last", last).filter(F.col("unit_no") < F.col("__last")).select("doc_id", "seq", "unit_no", "at")
 
 
-def align_in_order(cues: pd.DataFrame, text: str) -> list[tuple[int, int | None, int | None]]:
-    """Place of every normalised cue in a normalised text, searching on from the last one found."""
-    out, cursor = [], 0
-    for idx, n in zip(cues["idx"], cues["n"]):
+def align_in_order(cues: Iterable[tuple[int, str | None]], text: str) -> Iterator[tuple[int, int | None, int | None]]:
+    """Place of every normalised cue (idx, text) in a normalised text, searching on from the last one found."""
+    cursor = 0
+    for idx, n in cues:
         at = text.find(n, cursor) if n else -1
-        out.append((idx, None, None) if at < 0 else (idx, at, at + len(n)))
+        yield (idx, None, None) if at < 0 else (idx, at, at + len(n))
         cursor = cursor if at < 0 else at + len(n)
-    return out
 
 
 def check_breaks(cues: DataFrame, texts: DataFrame, gaps: DataFrame) -> DataFrame:
     """For each gap whether a full stop stands between its cues in the punctuated text: 'pass', 'violate', or
     'skip' where a cue cannot be placed. The cursor makes it a fold, by document."""
-    prepared = cues.select("doc_id", "idx", tx.norm_ascii(F.col("text")).alias("n"))
-    chars = F.filter(F.split("text", ""), lambda x: x != "")
-    marked = texts.select("doc_id", tx.norm_ascii(F.col("text")).alias("plain"), F.array_join(F.transform(chars, lambda x: F.when(F.lower(x).rlike("^[a-z0-9']$"), F.lit("w")).when(x.isin(".", "?", "!"), F.lit(".")).otherwise(F.lit(""))), "").alias("marks"))
-    rows = prepared.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("cues"))
-    points = gaps.groupBy("doc_id").agg(F.collect_list(F.struct("ia", "ib")).alias("gaps"))
-    both = rows.join(marked, "doc_id").join(points, "doc_id")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc, cs, plain, marks, gs in zip(pdf["doc_id"], pdf["cues"], pdf["plain"], pdf["marks"], pdf["gaps"]):
-                placed = {i: (a, b) for i, a, b in align_in_order(pd.DataFrame([(c["idx"], c["n"]) for c in cs], columns=["idx", "n"]), plain)}
-                at = [i for i, m in enumerate(marks) if m == "w"]
-                for g in gs:
-                    end, begin = placed.get(g["ia"], (None, None))[1], placed.get(g["ib"], (None, None))[0]
-                    if end is None or begin is None or not end:
-                        out.append((doc, g["ia"], g["ib"], "skip"))
-                        continue
-                    upto = at[begin] if begin < len(at) else len(marks)
-                    out.append((doc, g["ia"], g["ib"], "pass" if "." in marks[at[end - 1] : upto] else "violate"))
-            yield pd.DataFrame(out, columns=["doc_id", "ia", "ib", "status"])
-
-    return both.mapInPandas(run, "doc_id long, ia long, ib long, status string")
+    prepared = cues.select("doc_id", "idx", scans.norm_ascii(F.col("text")).alias("n"))
+    rows = prepared.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("c")).select("doc_id", F.col("c.idx").alias("idx"), F.col("c.n").alias("n"))
+    points = gaps.groupBy("doc_id").agg(F.collect_list(F.struct("ia", "ib")).alias("g")).select("doc_id", F.col("g.ia").alias("ia"), F.col("g.ib").alias("ib"))
+    both = rows.join(texts.select("doc_id", "text"), "doc_id").join(points, "doc_id").select("doc_id", "idx", "n", "text", "ia", "ib")
+    return both.mapInArrow(_check_breaks, "doc_id long, ia long, ib long, status string")
+
+
+def _check_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        col = {name: batch.column(name) for name in batch.schema.names}
+        for row in range(batch.num_rows):
+            ia, ib = col["ia"][row].values, col["ib"][row].values
+            # A null text has no characters; no cue is placed in it.
+            status = breaks(zip(col["idx"][row].values.to_pylist(), col["n"][row].values.to_pylist()), col["text"][row].as_py() or "", zip(ia.to_pylist(), ib.to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([col["doc_id"][row].as_py()] * len(ia), pa.int64()), ia.cast(pa.int64()), ib.cast(pa.int64()), pa.array(status, pa.string())], names=["doc_id", "ia", "ib", "status"])
+
+
+def breaks(cues: Iterable[tuple[int, str | None]], text: str, gaps: Iterable[tuple[int, int]]) -> list[str]:
+    """Status of each gap (ia, ib) of one document, by its normalised cues (idx, text) and punctuated text."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    out = scans.kept(data, False)
+    at = np.flatnonzero(out)
+    stops = np.concatenate([[0], np.cumsum((data == ord(".")) | (data == ord("?")) | (data == ord("!")))])
+    upto = stops[np.append(at, len(data))].tolist()  # full stops before each kept character, and in all
+    placed = {i: (a, b) for i, a, b in align_in_order(cues, out[at].tobytes().decode("ascii"))}
+    status, nowhere = [], (None, None)
+    for ia, ib in gaps:
+        end, begin = placed.get(ia, nowhere)[1], placed.get(ib, nowhere)[0]
+        status.append("skip" if begin is None or not end else "pass" if upto[begin] > upto[end - 1] else "violate")
+    return status
 
 
 def check_breaks_chunked(gaps: DataFrame, ranges: DataFrame, texts: DataFrame, last: int = 8) -> DataFrame:
