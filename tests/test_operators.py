@@ -273,3 +273,12 @@ def test_equal_places_stay_rows(spark):
     offsets = spark.createDataFrame([(1, 1, 0, 2), (1, 2, 2, 2), (1, 3, 2, 9)], "doc_id long, idx long, off_start long, off_end long")
     rows = sorted(map(tuple, an.on_cues(places, offsets).collect()), key=repr)
     assert rows == [(1, 1, 0, 3, 1, 3), (1, 1, 0, 3, 1, 3), (1, 2, None, None, None, None), (2, 1, 5, 6, None, None)]
+
+
+def test_breaks_count_all_kept_characters(spark):
+    """The marked text had no place for a letter whose lower case is two characters, and places after it were off by one."""
+    assert an.breaks([(1, "aib"), (2, "c")], "aİ b. c", [(1, 2), (2, 3)]) == ["pass", "skip"]
+    c = spark.createDataFrame([(1, 1, "aİ b."), (1, 2, "c"), (2, 1, "x"), (2, 2, "y")], "doc_id long, idx long, text string")
+    t = spark.createDataFrame([(1, "aİ b. c"), (2, "x, y.")], "doc_id long, text string")
+    got = an.check_breaks(c, t, c.select("doc_id", F.col("idx").alias("ia"), (F.col("idx") + 1).alias("ib"))).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 2, "pass"), (1, 2, 3, "skip"), (2, 1, 2, "violate"), (2, 2, 3, "skip")]

@@ -44,16 +44,18 @@ def locate(cues: DataFrame, sentences: DataFrame, normal=scans.norm) -> DataFram
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        found, sizes = [], []
         for row in range(batch.num_rows):
-            seq, found = batch.column("seq")[row].values, []
-            for n, (first, again) in zip(wanted := batch.column("n")[row].as_py(), places(batch.column("full")[row].as_py(), wanted)):
+            wanted = batch.column("n")[row].as_py()
+            for n, (first, again) in zip(wanted, places(batch.column("full")[row].as_py(), wanted)):
                 found.append((first, first + len(n) - 1, "unique" if again < 0 else "non-unique") if first >= 0 else (None, None, "failed"))
-            pos, end, status = zip(*found) if found else ((), (), ())
-            ids = pa.array([batch.column("doc_id")[row].as_py()] * len(found), batch.column("doc_id").type)
-            yield pa.RecordBatch.from_arrays([ids, seq, pa.array(pos, pa.int64()), pa.array(end, pa.int64()), pa.array(status, pa.string())], names=["doc_id", "seq", "pos", "pos_end", "status"])
+            sizes.append(len(wanted))
+        pos, end, status = zip(*found) if found else ((), (), ())
+        ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(batch.num_rows), sizes), pa.int64()))
+        yield pa.RecordBatch.from_arrays([ids, batch.column("seq").flatten(), pa.array(pos, pa.int64()), pa.array(end, pa.int64()), pa.array(status, pa.string())], names=["doc_id", "seq", "pos", "pos_end", "status"])
 
 
-#: Characters of a sentence's beginning that are looked up.
+#: Characters of a sentence's beginning that are looked up, a power of two.
 GRAM = 16
 
 
@@ -65,7 +67,7 @@ def places(text: str, wanted: list[str | None]) -> list[tuple[int, int]]:
     at: dict[int, list[int]] = {}
     if heads and len(codes) >= GRAM:
         begins = np.frombuffer("".join(n[:GRAM] for n in heads).encode("utf-32-le"), np.uint32).reshape(-1, GRAM)
-        grams, keys = _hash(np.lib.stride_tricks.sliding_window_view(codes, GRAM)), _hash(begins)
+        grams, keys = _hash(codes), _hash(begins)[:, 0]
         known = np.unique(keys)
         hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams)
         for key, p in zip(grams[hit].tolist(), hit.tolist()):
@@ -85,10 +87,12 @@ def places(text: str, wanted: list[str | None]) -> list[tuple[int, int]]:
     return out
 
 
-def _hash(rows: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(rows), np.uint64)
-    for i in range(GRAM):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + rows[:, i]
+def _hash(codes: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of ``GRAM`` characters along the last axis, from those of runs half as long."""
+    out, n, factor = codes.astype(np.uint64), 1, np.uint64(0x9E3779B97F4A7C15)
+    while n < GRAM:
+        out = out[..., :-n] * factor + out[..., n:]
+        n, factor = 2 * n, np.uint64(int(factor) ** 2 % 2**64)
     return out
 
 
@@ -186,12 +190,14 @@ def check_breaks(cues: DataFrame, texts: DataFrame, gaps: DataFrame) -> DataFram
 
 def _check_breaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        col = {name: batch.column(name) for name in batch.schema.names}
+        col, status, sizes = {name: batch.column(name) for name in batch.schema.names}, [], []
         for row in range(batch.num_rows):
-            ia, ib = col["ia"][row].values, col["ib"][row].values
+            ia, ib = col["ia"][row].as_py(), col["ib"][row].as_py()
             # A null text has no characters; no cue is placed in it.
-            status = breaks(zip(col["idx"][row].values.to_pylist(), col["n"][row].values.to_pylist()), col["text"][row].as_py() or "", zip(ia.to_pylist(), ib.to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array([col["doc_id"][row].as_py()] * len(ia), pa.int64()), ia.cast(pa.int64()), ib.cast(pa.int64()), pa.array(status, pa.string())], names=["doc_id", "ia", "ib", "status"])
+            status += breaks(zip(col["idx"][row].as_py(), col["n"][row].as_py()), col["text"][row].as_py() or "", zip(ia, ib))
+            sizes.append(len(ia))
+        ids = col["doc_id"].take(pa.array(np.repeat(np.arange(batch.num_rows), sizes)))
+        yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), col["ia"].flatten().cast(pa.int64()), col["ib"].flatten().cast(pa.int64()), pa.array(status, pa.string())], names=["doc_id", "ia", "ib", "status"])
 
 
 def breaks(cues: Iterable[tuple[int, str | None]], text: str, gaps: Iterable[tuple[int, int]]) -> list[str]:
