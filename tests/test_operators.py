@@ -282,3 +282,11 @@ def test_breaks_count_all_kept_characters(spark):
     t = spark.createDataFrame([(1, "aİ b. c"), (2, "x, y.")], "doc_id long, text string")
     got = an.check_breaks(c, t, c.select("doc_id", F.col("idx").alias("ia"), (F.col("idx") + 1).alias("ib"))).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 2, "pass"), (1, 2, 3, "skip"), (2, 1, 2, "violate"), (2, 2, 3, "skip")]
+
+
+def test_bag_diff_shuffles_only_what_differs(spark):
+    rows = spark.createDataFrame([(1, ["x", "y", "y"], ["y"]), (1, ["z"], ["z", "w"]), (1, ["w"], []), (2, None, ["q"]), (3, [], []), (4, [None, "a"], ["a"])], "k long, a array<string>, b array<string>")
+    out = wd.bag_diff(rows, ["k"], "a", "b", "item")
+    assert sorted(map(tuple, out.collect()), key=repr) == [(1, "x", 1, 0), (1, "y", 1, 0), (2, "q", 0, 1), (4, None, 1, 0)]
+    plan = base.QUERIES["multiset_diff"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("ArrowEvalPython") == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import packing as pk
+from tidemark.functions import scans
 from tidemark.functions import text as tx
 
 
@@ -18,6 +19,14 @@ def multiset_diff(a: DataFrame, b: DataFrame, key: list[str], item: str) -> Data
     return out.select(*key, item, F.greatest("d", F.lit(0)).cast("bigint").alias("missing"), F.greatest(-F.col("d"), F.lit(0)).cast("bigint").alias("extra"))
 
 
+def bag_diff(rows: DataFrame, key: list[str], a: str, b: str, item: str) -> DataFrame:
+    """The same of two lists of one row: they are compared in the row, and only what differs is shuffled, to add up rows
+    of one key."""
+    changes = rows.select(*key, F.explode(scans.bag_changes(F.col(a), F.col(b))).alias("c")).select(*key, F.col("c.item").alias(item), F.col("c.d").alias("d"))
+    out = changes.groupBy(*key, item).agg(F.sum("d").alias("d")).filter("d <> 0")
+    return out.select(*key, item, F.greatest("d", F.lit(0)).cast("bigint").alias("missing"), F.greatest(-F.col("d"), F.lit(0)).cast("bigint").alias("extra"))
+
+
 def first_divergence(pairs: DataFrame, key: list[str], a: str, b: str) -> DataFrame:
     """0-based place of the first different word of two texts in one row; null if they are equal."""
     x, y = tx.words(F.col(a)), tx.words(F.col(b))
