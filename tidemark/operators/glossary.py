@@ -189,23 +189,26 @@ def check_terms(terms: DataFrame, source: DataFrame, target: DataFrame) -> DataF
     equi join. A form of hyphens alone is located as a word only.
     """
     forms = terms.withColumn("forms", tx.term_forms(F.col("en"))).filter(F.size("forms") > 0)
-    chunks = source.withColumn("compact", tx.compact(F.col("text"))).withColumn("__hash", F.xxhash64("text"))
+    # Equal texts are located once; only the result meets their chunks.
+    texts = source.select("text").distinct().withColumn("compact", tx.compact(F.col("text"))).withColumn("__hash", F.xxhash64("text"))
     pattern = F.transform("forms", lambda f: tx.word_pattern(f))
     tight = F.transform(F.filter("forms", lambda f: ~f.rlike("[ -]") & (tx.compact(f) != "")), lambda f: tx.compact_pattern(f))
-    keyed = forms.select("line", "zh", "forms", pattern.alias("pats"), tight.alias("tights"))
-    near = _candidates(forms.select("line", F.explode("forms").alias("form")), chunks.select("__hash", "text", "compact"))
-    both = chunks.join(near, "__hash").drop("__hash").join(keyed, "line")
+    keyed = forms.select("line", F.transform(tx.translation_forms(F.col("zh")), tx.norm_zh).alias("zhs"), pattern.alias("pats"), tight.alias("tights"))
+    near = _candidates(forms.select("line", F.explode("forms").alias("form")), texts.select("__hash", "text", "compact"))
+    both = texts.join(near, "__hash").drop("__hash").join(keyed, "line")
     located = both.filter(F.expr("exists(pats, p -> text rlike p) or exists(tights, p -> compact rlike p)"))
     longer = longer_terms(terms).join(forms.select(F.col("line").alias("longer_line"), F.col("forms").alias("longer_forms")), "longer_line").groupBy("line").agg(F.flatten(F.collect_list("longer_forms")).alias("covers"))
     located = located.join(longer, "line", "left")
     removed = F.expr("aggregate(array_sort(coalesce(covers, array()), (a, b) -> length(b) - length(a)), text, (t, f) -> regexp_replace(t, concat('(?iuU)\\\\b', regexp_replace(f, '([\\\\\\\\.\\\\[\\\\]{}()*+?^$|\\\\-])', '\\\\\\\\$1'), '(?:es|s)?\\\\b'), ' '))")
     located = located.withColumn("rest", removed)
     covered = F.col("covers").isNotNull() & ~F.expr("exists(pats, p -> rest rlike p)")
-    done = located.join(target.select("doc_id", "chunk_no", F.col("text").alias("translated")), ["doc_id", "chunk_no"], "left")
-    found = F.exists(tx.translation_forms(F.col("zh")), lambda z: F.contains(tx.norm_zh(F.coalesce("translated", F.lit(""))), tx.norm_zh(z)))
-    status = F.when(covered, "covered").when(found, "hit").otherwise("miss")
+    located = located.select("text", "line", "zhs", covered.alias("covered"))
+    translated = target.select("doc_id", "chunk_no", tx.norm_zh(F.coalesce("text", F.lit(""))).alias("translated"))
+    done = source.select("doc_id", "chunk_no", "text").join(translated, ["doc_id", "chunk_no"], "left").join(located, "text")
+    found = F.exists("zhs", lambda z: F.contains(F.coalesce("translated", F.lit("")), z))
+    status = F.when(F.col("covered"), "covered").when(found, "hit").otherwise("miss")
     seen = done.select("line", "doc_id", "chunk_no", status.alias("status"))
-    absent = forms.join(seen.select("line").distinct(), "line", "left_anti").select("line", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("chunk_no"), F.lit("absent").alias("status"))
+    absent = forms.join(located.select("line").distinct(), "line", "left_anti").select("line", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("chunk_no"), F.lit("absent").alias("status"))
     return seen.select("line", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("chunk_no").cast("bigint").alias("chunk_no"), "status").unionByName(absent)
 
 
